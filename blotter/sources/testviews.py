@@ -1,0 +1,76 @@
+"""Two raw incident sources derived from the supplied test tables.
+
+Each has the columns and the irregularities of a landed file: several time
+layouts in one text column, unreadable and missing times, mixed-case, empty and
+missing offenses, missing coordinates.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from blotter.model import CHICAGO, COMMA_FORMAT, DC, SPACE_FORMAT, Source
+from blotter.operators.conform import incidents
+
+PRIMARY_TYPE = """
+CASE l_partkey % 12 WHEN 0 THEN 'THEFT' WHEN 1 THEN 'Theft' WHEN 2 THEN 'MOTOR VEHICLE THEFT'
+  WHEN 3 THEN 'BATTERY' WHEN 4 THEN 'ASSAULT' WHEN 5 THEN 'CRIMINAL DAMAGE' WHEN 6 THEN 'ROBBERY'
+  WHEN 7 THEN 'BURGLARY' WHEN 8 THEN 'HOMICIDE' WHEN 9 THEN 'NARCOTICS' WHEN 10 THEN '' ELSE NULL END"""
+CHICAGO_LATITUDE = "CASE WHEN l_linenumber = 7 THEN NULL ELSE 41.65e0 + (l_orderkey % 100) / 250e0 END"
+CHICAGO_LONGITUDE = "CASE WHEN l_linenumber = 6 THEN NULL ELSE -87.9e0 + (l_suppkey % 100) / 250e0 END"
+
+OFFENSE = """
+CASE o_custkey % 8 WHEN 0 THEN 'THEFT/OTHER' WHEN 1 THEN 'THEFT F/AUTO' WHEN 2 THEN 'MOTOR VEHICLE THEFT'
+  WHEN 3 THEN 'ASSAULT W/DANGEROUS WEAPON' WHEN 4 THEN 'SEX ABUSE' WHEN 5 THEN 'BURGLARY'
+  WHEN 6 THEN 'ROBBERY' ELSE NULL END"""
+OFFENSEGROUP = """
+CASE o_orderstatus WHEN 'F' THEN 'violent' WHEN 'O' THEN 'Property crime' ELSE NULL END"""
+DC_LATITUDE = "CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE 38.8e0 + (o_custkey % 100) / 500e0 END"
+DC_LONGITUDE = "CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE -77.1e0 + (o_orderkey % 100) / 500e0 END"
+
+
+def report_dat(comma: str, space: str, iso: str) -> str:
+    """REPORT_DAT from the three spellings of a record's time."""
+    return f"""
+CASE o_orderkey % 8 WHEN 4 THEN {space} WHEN 5 THEN {iso} WHEN 6 THEN 'not a date'
+  WHEN 7 THEN NULL ELSE {comma} END"""
+
+
+def chicago_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source with a typed time, from `lineitem`."""
+    hours = "CAST((l_orderkey + l_linenumber) % 24 AS INT)"
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        f"l_shipdate + make_dt_interval(0, {hours}) AS date",
+        f"{PRIMARY_TYPE} AS primary_type",
+        f"{CHICAGO_LATITUDE} AS latitude",
+        f"{CHICAGO_LONGITUDE} AS longitude",
+    )
+
+
+def dc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source with times as text in three layouts, from `orders`."""
+    time = (
+        "o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT),"
+        " CAST(o_custkey % 60 AS INT))"
+    )
+    text = report_dat(
+        comma=f"date_format({time}, '{COMMA_FORMAT}')",
+        space=f"date_format({time}, '{SPACE_FORMAT}')",
+        iso=f"date_format({time}, 'yyyy-MM-dd HH:mm:ss')",
+    )
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        f"{text} AS REPORT_DAT",
+        f"{OFFENSE} AS OFFENSE",
+        f"{OFFENSEGROUP} AS OFFENSEGROUP",
+        f"{DC_LATITUDE} AS LATITUDE",
+        f"{DC_LONGITUDE} AS LONGITUDE",
+    )
+
+
+def raw_sources(spark: SparkSession, sf_dir: str) -> list[tuple[Source, DataFrame]]:
+    return [(CHICAGO, chicago_raw(spark, sf_dir)), (DC, dc_raw(spark, sf_dir))]
+
+
+def all_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sources, conformed."""
+    return incidents(raw_sources(spark, sf_dir))
