@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -23,37 +24,29 @@ def _separators(fmt: str | None) -> frozenset[str] | None:
     return _SEPARATORS.intersection(fmt)
 
 
-def _attempt(text: Column, fmt: str | None) -> Column:
-    """One parse attempt; null where the text does not match.
-
-    A failed pattern parse costs a Java exception per row, several times the
-    price of a successful one. So a pattern is only tried on text that has
-    exactly the pattern's separators; all other text cannot match it.
-    """
-    if fmt is None:
-        return F.try_to_timestamp(text)
-    parsed = F.try_to_timestamp(text, F.lit(fmt))
-    needed = _separators(fmt)
-    if needed is None:
-        return parsed
-    guard = F.lit(True)
-    for mark in sorted(_SEPARATORS):
-        found = F.contains(text, F.lit(mark))
-        guard = guard & (found if mark in needed else ~found)
-    return F.when(guard, parsed)
+def attempt(col: Column, dtype: T.DataType, fmt: str | None) -> Column:
+    """`col` read in one layout as wall-clock time; null where it does not match.
 
+    Typed input needs no parsing. A failed pattern parse costs a Java exception
+    per row, several times the price of a successful one. So a pattern is only
+    tried on text that has exactly the pattern's separators; all other text
+    cannot match it.
 
-def parse_time(col: Column, dtype: T.DataType, formats: Sequence[str | None]) -> Column:
-    """The first layout in `formats` that reads `col`, as wall-clock time.
-
-    Typed input needs no parsing. The result is TIMESTAMP_NTZ: the year, hour
-    and weekday of a record are those written in it, and are taken without a
-    time-zone lookup per row.
+    The result is TIMESTAMP_NTZ: the year, hour and weekday of a record are
+    those written in it, and are taken without a time-zone lookup per row.
     """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return col.cast("timestamp_ntz")
     text = col.cast("string")
-    return F.coalesce(*(_attempt(text, fmt) for fmt in formats)).cast("timestamp_ntz")
+    if fmt is None:
+        return F.try_to_timestamp(text).cast("timestamp_ntz")
+    parsed = F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+    needed = _separators(fmt)
+    if needed is None:
+        return parsed
+    found = {mark: text.contains(mark) for mark in sorted(_SEPARATORS)}
+    guards = (test if mark in needed else ~test for mark, test in found.items())
+    return F.when(reduce(and_, guards), parsed)
 
 
 def month_start(ts: Column) -> Column:
@@ -67,7 +60,7 @@ def weekday_name(index: Column) -> Column:
 
 
 def in_month(ts: Column, year: int, month: int) -> Column:
-    """`ts` in a calendar month, as a half-open range a Parquet scan can use."""
+    """`ts` in a calendar month: two comparisons, no calendar work per row."""
     start = F.make_date(F.lit(year), F.lit(month), F.lit(1))
     return (ts >= start.cast("timestamp_ntz")) & (
         ts < F.add_months(start, 1).cast("timestamp_ntz")

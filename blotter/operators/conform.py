@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from blotter.functions.timeparse import parse_time
+from blotter.functions.timeparse import attempt
 from blotter.model import INCIDENT_COLUMNS, Source
 
 
@@ -19,20 +19,33 @@ def _named(name: str) -> Column:
 def conform(raw: DataFrame, source: Source) -> DataFrame:
     """One source as incidents. Every raw row is kept, parsed or not.
 
-    Coordinates that are no number become null, as unreadable times do.
+    Coordinates that are no number become null, as unreadable times do. Layouts
+    are tried in a step of their own, so that `ts` and `ts_strict` share them.
     """
     time = _named(source.time_col)
-    dtype = raw.select(time).schema[0].dataType
+    dtype = raw.select(time).schema[0].dataType  # by name, as Spark resolves it
+    layouts = list(dict.fromkeys(source.formats + source.strict_formats))
     group = _named(source.group_col) if source.group_col else F.lit(None)
-    return raw.select(
-        F.lit(source.city).alias("city"),
-        parse_time(time, dtype, source.formats).alias("ts"),
-        parse_time(time, dtype, source.strict_formats).alias("ts_strict"),
+
+    def first_of(formats: Sequence[str | None]) -> Column:
+        return F.coalesce(*(F.col(f"_time{layouts.index(fmt)}") for fmt in formats))
+
+    tried = raw.select(
+        *[attempt(time, dtype, fmt).alias(f"_time{i}") for i, fmt in enumerate(layouts)],
         _named(source.offense_col).cast("string").alias("offense_type"),
         group.cast("string").alias("offense_group"),
         _named(source.longitude_col).try_cast("double").alias("longitude"),
         _named(source.latitude_col).try_cast("double").alias("latitude"),
     )
+    return tried.select(
+        F.lit(source.city).alias("city"),
+        first_of(source.formats).alias("ts"),
+        first_of(source.strict_formats).alias("ts_strict"),
+        "offense_type",
+        "offense_group",
+        "longitude",
+        "latitude",
+    )
 
 
 def union_incidents(frames: Iterable[DataFrame]) -> DataFrame:
@@ -49,6 +62,21 @@ def incidents(raws: Iterable[tuple[Source, DataFrame]]) -> DataFrame:
     return union_incidents(conform(raw, source) for source, raw in raws)
 
 
+def per_source(
+    raws: Sequence[tuple[Source, DataFrame]], rollup: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """`rollup`, which must group by city, over the incidents of several sources.
+
+    Rolls up each source and unites the results, which are the same because no
+    two sources have a city in common. Spark compiles a scan and the partial
+    aggregate above it into one loop, but not with a union between the two.
+    """
+    cities = [source.city for source, _ in raws]
+    if len(set(cities)) < len(cities):
+        raise ValueError(f"sources share a city: {cities}")
+    return reduce(DataFrame.unionByName, [rollup(conform(raw, source)) for source, raw in raws])
+
+
 def dated(incidents: DataFrame) -> DataFrame:
     """Incidents with a readable time, each time parsed once.
 

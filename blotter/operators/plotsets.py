@@ -27,13 +27,15 @@ def load_coordinates(coordinates: DataFrame, city: str, year: int, month: int) -
 
 
 def _frequent_offenses(offenses: DataFrame, k: int) -> DataFrame:
-    """The k most frequent offenses (null is none); the name breaks ties."""
-    return (
-        offenses.filter(F.col("offense_type").isNotNull())
-        .orderBy(F.desc("crime_count"), "offense_type")
-        .limit(k)
-        .select("offense_type", F.col("offense_type").alias("offense_group"))
-    )
+    """The k most frequent offenses; the name breaks ties.
+
+    Null is sorted behind all names, and if it gets in, joins with nothing.
+    Filtering it out instead would be pushed below the counting, which could
+    then not be shared with other users of the same counts.
+    """
+    unnamed = F.col("offense_type").isNull()
+    top = offenses.orderBy(unnamed, F.desc("crime_count"), "offense_type").limit(k)
+    return top.select("offense_type", F.col("offense_type").alias("offense_group"))
 
 
 def _grouped(df: DataFrame, offenses: DataFrame, k: int) -> DataFrame:
@@ -107,21 +109,23 @@ def zone_summary(
 def heatmap(hourly: DataFrame, city: str) -> DataFrame:
     """One city's counts as a Mon..Sun by 0..23 matrix, null where none happened.
 
-    All 7 x 24 cells are there whatever the data holds.
+    All 7 x 24 cells are there whatever the data holds: seven rows without a
+    count are added before the hours are turned into columns.
     """
-    cells = (
-        hourly.filter(F.col("city") == city)
-        .groupBy("day_of_week")
-        .pivot("hour", list(range(24)))
-        .agg(F.first("crime_count"))
-    )
+    index = F.col("id").cast("int")
     days = hourly.sparkSession.range(0, len(WEEKDAYS), 1, 1).select(
-        F.col("id").cast("int").alias("weekday"),
-        weekday_name(F.col("id").cast("int")).alias("day_of_week"),
+        index.alias("weekday"), weekday_name(index).alias("day_of_week")
     )
+    cells = hourly.filter(F.col("city") == city).select("day_of_week", "hour", "crime_count")
+    hours = [
+        F.max(F.when(F.col("hour") == hour, F.col("crime_count"))).alias(str(hour))
+        for hour in range(24)
+    ]
     return (
-        days.join(F.broadcast(cells), "day_of_week", "left")  # 7 rows at most
-        .select("weekday", "day_of_week", *[F.col(f"`{hour}`") for hour in range(24)])
+        days.unionByName(cells, allowMissingColumns=True)
+        .groupBy("day_of_week")
+        .agg(F.max("weekday").alias("weekday"), *hours)
+        .filter(F.col("weekday").isNotNull())
         .orderBy("weekday")
     )
 

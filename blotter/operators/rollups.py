@@ -53,13 +53,14 @@ def _total(counts: DataFrame, *keys: str) -> DataFrame:
 def _dated_total(counts: DataFrame, time_key: str, *keys: str) -> DataFrame:
     """`_total` over the incidents whose `time_key` is known.
 
-    Undated incidents form groups without a count, dropped afterwards. Spark
-    would push a filter on the key down to the raw rows and parse each time
-    twice, once to test it and once to use it.
+    The key is handed on as an aggregate. A filter on a grouping column, here
+    or in a later step, would be pushed down to the raw rows and parse each
+    time twice: once to test it and once to use it.
     """
-    count = F.sum(F.when(F.col(time_key).isNotNull(), F.col("crime_count")))
-    totals = counts.groupBy("city", time_key, *keys).agg(count.alias("crime_count"))
-    return totals.filter(F.col("crime_count").isNotNull())
+    totals = counts.groupBy("city", F.col(time_key).alias("_group"), *keys).agg(
+        F.max(time_key).alias(time_key), F.sum("crime_count").alias("crime_count")
+    )
+    return totals.filter(F.col(time_key).isNotNull())
 
 
 def monthly(counts: DataFrame, strict: bool = False) -> DataFrame:

@@ -11,10 +11,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A partitioned write keeps one open file per partition value instead of
-    # sorting every task's rows first. The incident table has one value per
-    # task, so the sort would buy nothing.
-    "spark.sql.maxConcurrentOutputFileWriters": "64",
+    # A partitioned write keeps a file open per partition value, up to this many,
+    # instead of sorting every task's rows first. A task of the incident table
+    # has one city only, so the sort would buy nothing.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Lets "first n rows per lane" (sources.extract) drop rows before its
     # shuffle for extracts larger than Spark's default of 1000.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 # A top-n this small is cheap however many tasks contribute to it.
 _SMALL = 1000
 # Merging is done in this many lanes before the last step.
 _LANES = 256
+# Stands for "no end".
+_NEVER = datetime(9999, 12, 31, 23, 59, 59)
 
 
 def first_n(raw: DataFrame, time_col: str, n: int) -> DataFrame:
-    """The n earliest rows, in order; rows without a time come last.
+    """The n earliest rows by a date or timestamp column; rows without one come last.
 
     The remaining columns break ties, so only equal rows can stand for each
     other and a rerun gives the same result.
@@ -26,17 +30,26 @@ def first_n(raw: DataFrame, time_col: str, n: int) -> DataFrame:
     if n <= _SMALL:
         return raw.orderBy(*order).limit(n)
 
-    day = F.col(time_col).cast("date")
-    days = raw.filter(day.isNotNull()).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    time = F.col(time_col)
+    dtype = raw.select(time).schema[0].dataType
+    never = F.lit(_NEVER).cast(dtype)
+    day = time.cast("date")
+    days = raw.groupBy(day.alias("day")).agg(F.count(time_col).alias("rows"))
     running = F.sum("rows").over(Window.orderBy("day"))  # calendar days only
-    last_day = (
+    next_day = F.date_add(F.min("day"), 1).cast(dtype)
+    end = (
         days.withColumn("running", running)
         .filter(F.col("running") >= n)
-        .agg(F.date_add(F.min("day"), 1).cast("timestamp_ntz").alias("end"))
+        .agg(F.coalesce(next_day, never))
         .scalar()
     )
-    # No such day: fewer than n dated rows, and every row is a candidate.
-    candidates = raw.filter((F.col(time_col).cast("timestamp_ntz") < last_day) | last_day.isNull())
+    # No such day means fewer than n dated rows: then all rows are candidates.
+    # The first filter is the looser one, but one that a Parquet scan can use
+    # (on dates and zoned timestamps with statistics). The second compares days,
+    # as Spark would merge two comparisons of times.
+    in_range = (time < end) | time.isNull() | (time >= never)
+    exact = (day < end.cast("date")) | (end == never)
+    candidates = raw.filter(in_range).filter(exact)
 
     place = F.row_number().over(Window.partitionBy("_lane").orderBy(*order))
     merged = (

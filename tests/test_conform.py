@@ -1,0 +1,89 @@
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.model import CHICAGO, DC, INCIDENT_COLUMNS
+from blotter.operators.conform import conform, dated, incidents, per_source
+from blotter.operators import rollups
+from tests.helpers import incidents_of, ordered, plan, rows
+
+
+def dc_raw(spark, *records):
+    return spark.createDataFrame(
+        records,
+        "REPORT_DAT string, OFFENSE string, OFFENSEGROUP string, LATITUDE string, LONGITUDE string",
+    )
+
+
+def test_columns_and_types(spark):
+    raw = dc_raw(spark, ("7/4/2025 3:06:07 PM", "ROBBERY", "violent", "38.9", "-77.0"))
+    out = conform(raw, DC)
+    assert tuple(out.columns) == INCIDENT_COLUMNS
+    assert ordered(out) == [
+        ("DC", datetime(2025, 7, 4, 15, 6, 7), None, "ROBBERY", "violent", -77.0, 38.9)
+    ]
+
+
+def test_no_row_is_dropped_and_bad_values_become_null(spark):
+    raw = dc_raw(
+        spark, ("junk", None, None, "north", ""), (None, "", "x", None, "-77.1"), ("", "A", "", "1", "2")
+    )
+    out = ordered(conform(raw, DC).select("ts", "offense_type", "longitude", "latitude"))
+    assert out == [(None, None, None, None), (None, "", -77.1, None), (None, "A", 2.0, 1.0)]
+
+
+def test_column_names_with_spaces_and_any_case(spark):
+    raw = spark.createDataFrame(
+        [("2025-07-04T10:00:00", "THEFT", "41.9", "-87.6")],
+        "`Date` string, `Primary Type` string, `Latitude` string, `Longitude` string",
+    )
+    spaced = replace(CHICAGO, offense_col="Primary Type")
+    assert ordered(conform(raw, spaced)) == [
+        ("Chicago", datetime(2025, 7, 4, 10), datetime(2025, 7, 4, 10), "THEFT", None, -87.6, 41.9)
+    ]
+
+
+def test_any_number_of_sources(spark):
+    raw = dc_raw(spark, ("2025-01-01 00:00:00", "A", "b", "1", "2"))
+    cities = [replace(DC, city=name) for name in ("DC", "Boston", "Reno")]
+    out = incidents([(source, raw) for source in cities])
+    assert rows(out.select("city")) == {("DC",): 1, ("Boston",): 1, ("Reno",): 1}
+
+
+def test_city_filter_leaves_other_sources_unread(spark, tmp_path):
+    raw = dc_raw(spark, ("2025-01-01 00:00:00", "A", "b", "1", "2"))
+    for name in ("a", "b"):
+        raw.write.parquet(str(tmp_path / name))
+    pairs = [
+        (replace(DC, city="A"), spark.read.parquet(str(tmp_path / "a"))),
+        (replace(DC, city="B"), spark.read.parquet(str(tmp_path / "b"))),
+    ]
+    one = incidents(pairs).filter(F.col("city") == "B")
+    assert plan(one).count("FileScan") == 1
+    assert one.count() == 1
+
+
+def test_per_source_equals_the_union(spark):
+    raw = dc_raw(
+        spark, ("2025-01-01 00:00:00", "A", "b", "1", "2"), ("junk", "B", None, None, None)
+    )
+    raws = [(replace(DC, city="A"), raw), (replace(DC, city="B"), raw.limit(1))]
+    for rollup in (rollups.monthly, rollups.hourly, rollups.offense_counts):
+        both = rollup(rollups.keyed(incidents(raws)))
+        assert rows(per_source(raws, lambda df: rollup(rollups.keyed(df)))) == rows(both)
+
+
+def test_per_source_refuses_a_shared_city(spark):
+    raw = dc_raw(spark, ("2025-01-01 00:00:00", "A", "b", "1", "2"))
+    with pytest.raises(ValueError, match="share a city"):
+        per_source([(DC, raw), (DC, raw)], rollups.ingested_rows)
+
+
+def test_dated_drops_undated_rows_only(spark):
+    day = datetime(2025, 1, 1)
+    df = incidents_of(spark, {"city": "A", "ts": day}, {"city": "B"}, {"city": "C", "ts": day})
+    out = dated(df)
+    assert out.columns == df.columns
+    assert rows(out) == rows(df.filter("ts IS NOT NULL"))

@@ -1,0 +1,104 @@
+"""Plan shapes that must hold whatever the data size."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as registry
+from blotter.operators import rollups
+from blotter.session import configure
+from blotter.sources.extract import first_n
+from tests.helpers import plan
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES = registry.queries()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {key: plan(query(spark, SF_DIR)) for key, query in QUERIES.items()}
+
+
+@pytest.mark.parametrize("key", QUERIES)
+def test_no_python_no_product(plans, key):
+    for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Rdd"):
+        assert operator not in plans[key]
+
+
+@pytest.mark.parametrize("key", QUERIES)
+def test_aggregates_start_before_the_shuffle(plans, key):
+    shuffled = plans[key].count("Exchange hashpartitioning") + plans[key].count(
+        "Exchange SinglePartition"
+    )
+    if "HashAggregate" in plans[key] and shuffled:
+        assert "partial_" in plans[key]
+
+
+@pytest.mark.parametrize("key", QUERIES)
+def test_windows_run_on_rollups_and_are_cut_before_the_shuffle(plans, key):
+    text = plans[key]
+    if " Window [rank" in text or " Window [row_number" in text:
+        assert "Partial" in text.split("WindowGroupLimit", 1)[1]
+
+
+@pytest.mark.parametrize(
+    "key, columns",
+    [
+        ("offense_counts", ["l_partkey", "o_custkey"]),
+        ("monthly", ["l_orderkey", "l_linenumber", "l_shipdate", "o_orderkey", "o_custkey", "o_orderdate"]),
+        ("ingested_rows", []),
+    ],
+)
+def test_scans_read_the_columns_used(plans, key, columns):
+    read = re.findall(r"ReadSchema: struct<(.*?)>", plans[key])
+    names = [field.split(":")[0] for schema in read for field in schema.split(",") if field]
+    assert names == columns
+
+
+@pytest.mark.parametrize(
+    "key", ["heatmap", "offense_counts_dc", "category_dc", "load_coordinates", "theft_zone"]
+)
+def test_one_city_reads_one_source(plans, key):
+    assert plans[key].count("FileScan") == 1
+
+
+@pytest.mark.parametrize("key", ["monthly", "hourly", "population_line", "violent_monthly", "coordinates"])
+def test_text_is_parsed_once(plans, key):
+    """One attempt per layout and row: no pushed-down filter repeats the parse."""
+    scans = plans[key].count("orders.parquet")
+    layouts = 1 if key == "violent_monthly" else 2
+    assert plans[key].count("gettimestamp(") == layouts * scans
+
+
+def test_shared_counts_are_computed_once(spark):
+    for key in ("offense_share", "top_offense_groups"):
+        df = QUERIES[key](spark, SF_DIR)
+        df.collect()
+        assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString(), key
+
+
+def test_extract_bound_reaches_the_scan(spark, tmp_path):
+    """16 files in order of time, of which the first holds all that is asked for."""
+    path = str(tmp_path / "t")
+    spark.range(0, 160000, 1, 16).selectExpr(
+        "date_add(date'2020-01-01', cast(id / 1000 AS int)) AS t", "id"
+    ).write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = first_n(spark.read.parquet(path), "t", 1500)
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        assert len(df.collect()) == 1500
+    finally:
+        configure(spark)
+    read = [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())]
+    assert read == [10000]
+
+
+@pytest.mark.parametrize("key", ["monthly", "hourly", "offense_counts", "violent_monthly"])
+def test_each_source_is_scanned_and_shuffled_once(plans, key):
+    assert plans[key].count("FileScan") == 2
+    assert plans[key].count("Exchange ") == 2
+
+
+def test_keyed_adds_no_shuffle(spark):
+    assert "Exchange" not in plan(rollups.keyed(QUERIES["incidents"](spark, SF_DIR)))
