@@ -48,7 +48,7 @@ def first_n(raw: DataFrame, time_col: str, n: int) -> DataFrame:
     # (on dates and zoned timestamps with statistics). The second compares days,
     # as Spark would merge two comparisons of times.
     in_range = (time < end) | time.isNull() | (time >= never)
-    exact = (day < end.cast("date")) | (end == never)
+    exact = (F.datediff(end.cast("date"), day) > 0) | (end == never)
     candidates = raw.filter(in_range).filter(exact)
 
     place = F.row_number().over(Window.partitionBy("_lane").orderBy(*order))
