@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+from datetime import date
 
 from pyspark.sql import Column, functions as F, types as T
 
+from blotter.functions.sqltext import quoted, string
+
 # Pattern letters whose text is made of digits or AM/PM only, so that a comma or
 # slash in the input can come from nowhere but the pattern's own punctuation.
 _PLAIN_FIELDS = frozenset("yMdHhmsSa")
@@ -24,44 +25,50 @@ def _separators(fmt: str | None) -> frozenset[str] | None:
     return _SEPARATORS.intersection(fmt)
 
 
-def attempt(col: Column, dtype: T.DataType, fmt: str | None) -> Column:
-    """`col` read in one layout as wall-clock time; null where it does not match.
+def is_typed(dtype: T.DataType) -> bool:
+    """Whether a time column needs no parsing."""
+    return isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
+
+
+def attempt(name: str, fmt: str | None) -> Column:
+    """Text column `name` read in one layout; null where it does not match.
 
-    Typed input needs no parsing. A failed pattern parse costs a Java exception
-    per row, several times the price of a successful one. So a pattern is only
-    tried on text that has exactly the pattern's separators; all other text
-    cannot match it.
+    A failed pattern parse costs a Java exception per row, several times the
+    price of a successful one. So a pattern is only tried on text that has
+    exactly the pattern's separators; all other text cannot match it.
 
     The result is TIMESTAMP_NTZ: the year, hour and weekday of a record are
     those written in it, and are taken without a time-zone lookup per row.
     """
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return col.cast("timestamp_ntz")
-    text = col.cast("string")
+    text = quoted(name)
     if fmt is None:
-        return F.try_to_timestamp(text).cast("timestamp_ntz")
-    parsed = F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+        return F.expr(f"CAST(try_to_timestamp({text}) AS TIMESTAMP_NTZ)")
+    parsed = f"CAST(try_to_timestamp({text}, {string(fmt)}) AS TIMESTAMP_NTZ)"
     needed = _separators(fmt)
     if needed is None:
-        return parsed
-    found = {mark: text.contains(mark) for mark in sorted(_SEPARATORS)}
-    guards = (test if mark in needed else ~test for mark, test in found.items())
-    return F.when(reduce(and_, guards), parsed)
+        return F.expr(parsed)
+    tests = [
+        f"{'' if mark in needed else 'NOT '}contains({text}, '{mark}')"
+        for mark in sorted(_SEPARATORS)
+    ]
+    return F.expr(f"CASE WHEN {' AND '.join(tests)} THEN {parsed} END")
 
 
-def month_start(ts: Column) -> Column:
+def month_start(name: str) -> Column:
     """First day of the month as a DATE: one 4-byte group key for (year, month)."""
-    return F.trunc(ts.cast("date"), "month")
+    return F.expr(f"trunc(CAST({quoted(name)} AS DATE), 'month')")
 
 
-def weekday_name(index: Column) -> Column:
+def weekday_name(name: str) -> Column:
     """Mon..Sun for 0..6."""
-    return F.element_at(F.array(*map(F.lit, WEEKDAYS)), index + 1)
+    names = ", ".join(f"'{day}'" for day in WEEKDAYS)
+    return F.expr(f"element_at(array({names}), {quoted(name)} + 1)")
 
 
-def in_month(ts: Column, year: int, month: int) -> Column:
-    """`ts` in a calendar month: two comparisons, no calendar work per row."""
-    start = F.make_date(F.lit(year), F.lit(month), F.lit(1))
-    return (ts >= start.cast("timestamp_ntz")) & (
-        ts < F.add_months(start, 1).cast("timestamp_ntz")
+def in_month(name: str, year: int, month: int) -> Column:
+    """The column in a calendar month: two comparisons, no calendar work per row."""
+    first = date(year, month, 1)
+    after = date(year + month // 12, month % 12 + 1, 1)
+    return F.expr(
+        f"{quoted(name)} >= TIMESTAMP_NTZ'{first}' AND {quoted(name)} < TIMESTAMP_NTZ'{after}'"
     )

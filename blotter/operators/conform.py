@@ -5,46 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from blotter.functions.timeparse import attempt
+from blotter.functions.sqltext import quoted, string
+from blotter.functions.timeparse import attempt, is_typed
 from blotter.model import INCIDENT_COLUMNS, Source
 
 
-def _named(name: str) -> Column:
-    """A column by its literal name, spaces and dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def conform(raw: DataFrame, source: Source) -> DataFrame:
     """One source as incidents. Every raw row is kept, parsed or not.
 
     Coordinates that are no number become null, as unreadable times do. Layouts
     are tried in a step of their own, so that `ts` and `ts_strict` share them.
     """
-    time = _named(source.time_col)
+    time = quoted(source.time_col)
+    group = quoted(source.group_col) if source.group_col else "NULL"
     dtype = raw.select(time).schema[0].dataType  # by name, as Spark resolves it
-    layouts = list(dict.fromkeys(source.formats + source.strict_formats))
-    group = _named(source.group_col) if source.group_col else F.lit(None)
-
-    def first_of(formats: Sequence[str | None]) -> Column:
-        return F.coalesce(*(F.col(f"_time{layouts.index(fmt)}") for fmt in formats))
-
-    tried = raw.select(
-        *[attempt(time, dtype, fmt).alias(f"_time{i}") for i, fmt in enumerate(layouts)],
-        _named(source.offense_col).cast("string").alias("offense_type"),
-        group.cast("string").alias("offense_group"),
-        _named(source.longitude_col).try_cast("double").alias("longitude"),
-        _named(source.latitude_col).try_cast("double").alias("latitude"),
-    )
-    return tried.select(
-        F.lit(source.city).alias("city"),
-        first_of(source.formats).alias("ts"),
-        first_of(source.strict_formats).alias("ts_strict"),
-        "offense_type",
-        "offense_group",
-        "longitude",
-        "latitude",
+    if is_typed(dtype):
+        layouts = {fmt: time for fmt in source.formats + source.strict_formats}
+        tried = raw
+    else:
+        layouts = {
+            fmt: f"_time{i}"
+            for i, fmt in enumerate(dict.fromkeys(source.formats + source.strict_formats))
+        }
+        attempts = [attempt(source.time_col, fmt).alias(name) for fmt, name in layouts.items()]
+        tried = raw.select("*", *attempts)
+
+    def first_of(formats: Sequence[str | None]) -> str:
+        names = dict.fromkeys(layouts[fmt] for fmt in formats)
+        return f"CAST(coalesce({', '.join(names)}) AS TIMESTAMP_NTZ)"
+
+    return tried.selectExpr(
+        f"{string(source.city)} AS city",
+        f"{first_of(source.formats)} AS ts",
+        f"{first_of(source.strict_formats)} AS ts_strict",
+        f"CAST({quoted(source.offense_col)} AS STRING) AS offense_type",
+        f"CAST({group} AS STRING) AS offense_group",
+        f"try_cast({quoted(source.longitude_col)} AS DOUBLE) AS longitude",
+        f"try_cast({quoted(source.latitude_col)} AS DOUBLE) AS latitude",
     )
 
 

@@ -112,13 +112,11 @@ def heatmap(hourly: DataFrame, city: str) -> DataFrame:
     All 7 x 24 cells are there whatever the data holds: seven rows without a
     count are added before the hours are turned into columns.
     """
-    index = F.col("id").cast("int")
-    days = hourly.sparkSession.range(0, len(WEEKDAYS), 1, 1).select(
-        index.alias("weekday"), weekday_name(index).alias("day_of_week")
-    )
+    days = hourly.sparkSession.range(0, len(WEEKDAYS), 1, 1).selectExpr("CAST(id AS INT) AS weekday")
+    days = days.withColumn("day_of_week", weekday_name("weekday"))
     cells = hourly.filter(F.col("city") == city).select("day_of_week", "hour", "crime_count")
     hours = [
-        F.max(F.when(F.col("hour") == hour, F.col("crime_count"))).alias(str(hour))
+        F.expr(f"max(crime_count) FILTER (WHERE hour = {hour})").alias(str(hour))
         for hour in range(24)
     ]
     return (

@@ -31,8 +31,8 @@ def keyed(incidents: DataFrame) -> DataFrame:
     """Incidents with the rollups' keys and a count of 1; unused keys are pruned."""
     return incidents.select(
         "city",
-        month_start(F.col("ts")).alias("month_start"),
-        month_start(F.col("ts_strict")).alias("month_start_strict"),
+        month_start("ts").alias("month_start"),
+        month_start("ts_strict").alias("month_start_strict"),
         F.weekday("ts").alias("weekday"),
         F.hour("ts").alias("hour"),
         "offense_type",
@@ -82,7 +82,7 @@ def hourly(counts: DataFrame) -> DataFrame:
     Groups by the weekday's number; names are put on the groups, not the rows.
     """
     return _dated_total(counts, "hour", "weekday").select(
-        "city", weekday_name(F.col("weekday")).alias("day_of_week"), "hour", "crime_count"
+        "city", weekday_name("weekday").alias("day_of_week"), "hour", "crime_count"
     )
 
 

@@ -7,10 +7,11 @@ missing offenses, missing coordinates.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from blotter.model import CHICAGO, COMMA_FORMAT, DC, SPACE_FORMAT, Source
-from blotter.operators.conform import incidents
 
 # The columns used. Stating them saves the job that reads a schema from the files.
 _LINEITEM = (
@@ -75,10 +76,10 @@ def dc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_sources(spark: SparkSession, sf_dir: str) -> list[tuple[Source, DataFrame]]:
-    return [(CHICAGO, chicago_raw(spark, sf_dir)), (DC, dc_raw(spark, sf_dir))]
+_RAW = {CHICAGO: chicago_raw, DC: dc_raw}
 
 
-def all_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sources, conformed."""
-    return incidents(raw_sources(spark, sf_dir))
+def raw_sources(
+    spark: SparkSession, sf_dir: str, sources: Sequence[Source] = (CHICAGO, DC)
+) -> list[tuple[Source, DataFrame]]:
+    return [(source, _RAW[source](spark, sf_dir)) for source in sources]
