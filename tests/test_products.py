@@ -60,6 +60,11 @@ def test_one_month_reads_one_partition(spark, ingested):
     assert len(month.inputFiles()) < len(located.inputFiles())
 
 
+def test_each_month_is_one_file(spark, ingested):
+    located = spark.table(f"{DATABASE}.crime_coordinates_monthly")
+    assert len(located.inputFiles()) == located.select("city", "year", "month").distinct().count()
+
+
 def test_one_city_reads_one_partition(spark, ingested):
     facts = spark.table(f"{DATABASE}.incidents")
     text = plan(rollups.monthly(rollups.keyed(facts)).filter(F.col("city") == "DC"))
