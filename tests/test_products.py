@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from blotter.operators import plotsets, rollups
-from blotter.plans.products import build_products
+from blotter.plans.products import COORDINATE_PARTITIONS, build_products
+from blotter.sources.tables import save_table
 from blotter.sources.testviews import raw_sources
 from tests.helpers import plan, rows
 
@@ -65,6 +66,24 @@ def test_each_month_is_one_file(spark, ingested):
     assert len(located.inputFiles()) == located.select("city", "year", "month").distinct().count()
 
 
+def test_a_hot_month_is_written_by_several_tasks(spark, ingested):
+    located = spark.range(0, 600000, 1, 8).selectExpr(
+        "'X' AS city", "2020 AS year", "if(id % 20 = 0, CAST(id % 11 AS INT) + 2, 1) AS month",
+        "rand(1) AS longitude", "rand(2) AS latitude", "'A' AS offense_type",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        name = f"{DATABASE}.hot_month"
+        balanced = located.hint("rebalance", *COORDINATE_PARTITIONS)
+        save_table(balanced, name, COORDINATE_PARTITIONS)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.table(name)
+    assert stored.count() == 600000
+    assert len(stored.filter("month = 1").inputFiles()) > 4
+    assert len(stored.filter("month = 2").inputFiles()) == 1
+
+
 def test_one_city_reads_one_partition(spark, ingested):
     facts = spark.table(f"{DATABASE}.incidents")
     text = plan(rollups.monthly(rollups.keyed(facts)).filter(F.col("city") == "DC"))
