@@ -64,3 +64,11 @@ def running_total(
         .withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long"))
         .drop("_bucket", "_amount", "_inside", "_offset")
     )
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

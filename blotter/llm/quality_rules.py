@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.frames import text_of
+from blotter.llm.frames import text_of, unused
 from blotter.llm.words import SPACED, blocks, mixed, segment_hashes, window_hashes, words_of
 
 REPEAT_WINDOW = 5
@@ -228,6 +228,7 @@ def ablations(rows: DataFrame, policy: str) -> DataFrame:
 
 def accepted(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
     """The documents that pass a policy, with all their columns."""
-    kept = passes(failure_bits("_m"), policy)
+    measured = unused(docs, "_m")
+    kept = passes(failure_bits(measured), policy)
     names = [F.col(f"`{name}`") for name in docs.columns]
-    return docs.withColumn("_m", measures(text_col)).filter(kept).select(*names)
+    return docs.withColumn(measured, measures(text_col)).filter(kept).select(*names)
