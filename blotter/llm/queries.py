@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import quality_rules
+from blotter.llm import bpe, quality_rules, token_files
 from blotter.llm.frames import table
 
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
+    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), BYTE_BPE).alias("decoded"))
+    return both.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return found.select(
@@ -18,9 +34,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.new_folder(spark)
+    token_files.write(table(spark, sf_dir, "documents"), folder, WORD_BPE)
+    return token_files.read_checksums(spark, folder)
+
+
 def queries() -> dict:
     return {
+        "op3_bpe": op3_bpe,
         "op7_quality_rules": op7_quality_rules,
+        "op10_token_files": op10_token_files,
     }
 
 
