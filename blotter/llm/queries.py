@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import bpe, quality_rules, token_files
+from blotter.llm import bpe, ngram_join, quality_rules, token_files
 from blotter.llm.frames import table
 
 
@@ -25,6 +25,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return found.select(
@@ -43,6 +48,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op3_bpe": op3_bpe,
+        "op6_ngram_join": op6_ngram_join,
         "op7_quality_rules": op7_quality_rules,
         "op10_token_files": op10_token_files,
     }
