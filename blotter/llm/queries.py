@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import bpe, ngram_join, quality_rules, token_files
+from blotter.llm import bpe, decontaminate, ngram_join, quality_rules, token_files
 from blotter.llm.frames import table
 
 
@@ -25,6 +25,18 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.matches(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -48,6 +60,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op3_bpe": op3_bpe,
+        "op5_decontaminate": op5_decontaminate,
         "op6_ngram_join": op6_ngram_join,
         "op7_quality_rules": op7_quality_rules,
         "op10_token_files": op10_token_files,
