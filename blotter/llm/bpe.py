@@ -15,6 +15,9 @@ from __future__ import annotations
 
 import json
 import re
+import string
+import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -32,13 +35,17 @@ SPREAD = 65_536
 AGREE = 4
 REACH = 48
 #: Pieces a worker remembers, and the longest that it does.
-MEMO = 1_000_000
+MEMO = 300_000
 MEMO_CHARS = 64
 
 _PIECE = re.compile(r"\s*\S+|\s+")
 #: White space to Python but not to the tokenizers' patterns.
 _UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
-_NONE = np.zeros(0, np.uint32)
+#: Full stops and commas beside what may be one word with them.
+_TIGHT = re.compile(r"[.,](?:[^\s\w]|_)|(?:[^\s\w]|_)[.,]")
+_MARKS = string.punctuation
+#: Letters up to here are plain to every version of the patterns; no mark joins them.
+_PLAIN_LETTERS = "\u024f"
 
 
 def byte_characters() -> dict[str, int]:
@@ -54,9 +61,6 @@ def byte_characters() -> dict[str, int]:
 class PieceEncoder:
     """Encodes texts piece by piece; ids are little-endian unsigned 32-bit integers."""
 
-    #: Between pieces that are encoded in one call.
-    separator = ""
-
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -70,23 +74,33 @@ class PieceEncoder:
     def pieces(self, text: str) -> list[str]:
         return _PIECE.findall(text)
 
-    def joinable(self, piece: str) -> bool:
-        """Whether the piece can stand among others in one call."""
-        return piece[0].isspace() and not piece[-1].isspace()
+    def stem(self, piece: str) -> str | None:
+        """The piece's word if it is letters that make up one word to the tokenizer, else None.
+
+        Marks of ASCII may follow the letters; they are a piece of their own.
+        """
+        raise NotImplementedError
 
-    def parted(self, pieces: list[str]) -> list[bytes]:
-        """The ids of pieces, all of them encoded in one call."""
+    def parted(self, stems: list[str]) -> list[bytes]:
+        """The ids of each of the words, all of them encoded in one call."""
         raise NotImplementedError
 
     def _learn(self, unseen: set[str]) -> None:
-        if len(self.memo) + len(unseen) > MEMO:
-            self.memo.clear()
-        together = [piece for piece in unseen if self.joinable(piece)]
-        for start in range(0, len(together), 4096):
-            part = together[start : start + 4096]
-            self.memo.update(zip(part, self.parted(part)))
-        alone = [piece for piece in unseen if not self.joinable(piece)]
-        self.memo.update(zip(alone, self._library(alone)))
+        memo = self.memo
+        if len(memo) + 2 * len(unseen) > MEMO:
+            memo.clear()
+        stems = {piece: self.stem(piece) or self.stem(piece.rstrip(_MARKS)) for piece in unseen}
+        words = list({stem for stem in stems.values() if stem and stem not in memo})
+        for start in range(0, len(words), 8192):
+            part = words[start : start + 8192]
+            memo.update(zip(part, self.parted(part)))
+        marked = [(piece, stem) for piece, stem in stems.items() if stem and piece != stem]
+        tails = [piece[len(stem) :] for piece, stem in marked]
+        others = {piece for piece, stem in stems.items() if not stem}
+        others = list(others.union(tails).difference(memo, ("",)))
+        memo.update(zip(others, self._library(others)))
+        for (piece, stem), tail in zip(marked, tails):
+            memo[piece] = memo[stem] + (memo[tail] if tail else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the library gives them for the whole text."""
@@ -108,8 +122,8 @@ class PieceEncoder:
         distinct = set().union(*(pieces for pieces in split if pieces))
         unseen = distinct.difference(self.memo)
         long = {piece for piece in unseen if len(piece) > MEMO_CHARS}
-        if len(self.memo) + len(unseen) > MEMO:
-            unseen = distinct - long
+        if len(self.memo) + 2 * len(unseen) > MEMO:
+            unseen = distinct
         self._learn(unseen - long)
         known = self.memo
         if long:
@@ -141,16 +155,15 @@ class ByteEncoder(PieceEncoder):
             self.specials.append(content)
         self.lengths = np.array([len(b) for b in self.token_bytes], np.int64)
 
-    def parted(self, pieces: list[str]) -> list[bytes]:
-        content = [piece.encode() for piece in pieces]
-        ids = np.frombuffer(self._library(["".join(pieces)])[0], "<u4")
+    def stem(self, piece: str) -> str | None:
+        plain = piece[:1] == " " and piece[1:].isalpha() and max(piece) <= _PLAIN_LETTERS
+        return piece if plain else None
+
+    def parted(self, stems: list[str]) -> list[bytes]:
+        ids = np.frombuffer(self._library(["".join(stems)])[0], "<u4")
         ends = np.cumsum(self.lengths[ids])
-        cuts = np.searchsorted(ends, np.cumsum([len(c) for c in content])) + 1
-        raw, at, out = ids.tobytes(), 0, []
-        for cut in (cuts * 4).tolist():
-            out.append(raw[at:cut])
-            at = cut
-        return out
+        stops = np.searchsorted(ends, np.cumsum([len(stem.encode()) for stem in stems])) + 1
+        return _cut(ids, stops)
 
     def decode(self, ids: bytes) -> str:
         table = self.token_bytes
@@ -218,27 +231,40 @@ class ByteEncoder(PieceEncoder):
 class WordEncoder(PieceEncoder):
     """A vocabulary with word ends that drops white space, so pieces are bare words."""
 
-    #: Stands between pieces that are encoded in one call, as a word of one token.
-    mark = "\x00"
-
     def __init__(self, path: str):
         super().__init__(path)
-        self.mark_ids = np.frombuffer(self._library([self.mark])[0], "<u4")
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            ends[number] = token.endswith("</w>")
+        self.word_ends = ends
 
     def pieces(self, text: str) -> list[str]:
+        """Words, in small letters and without their full stops and commas where that is sure
+        to leave the ids as they are: it lets more words share one encoding.
+        """
+        low = text.lower()
+        if "<|" not in text and "\u03a3" not in text and unicodedata.is_normalized("NFC", low):
+            text = low
+            if not _TIGHT.search(text):
+                text = text.replace(".", " . ").replace(",", " , ")
         return text.split()
 
-    def joinable(self, piece: str) -> bool:
-        return len(self.mark_ids) == 1 and self.mark not in piece
+    def stem(self, piece: str) -> str | None:
+        plain = piece.isalpha() and max(piece) <= _PLAIN_LETTERS
+        low = piece.lower()
+        return low if plain and len(low) == len(piece) else None
+
+    def parted(self, stems: list[str]) -> list[bytes]:
+        ids = np.frombuffer(self._library([" ".join(stems)])[0], "<u4")
+        return _cut(ids, np.flatnonzero(self.word_ends[ids]) + 1)
 
-    def parted(self, pieces: list[str]) -> list[bytes]:
-        ids = np.frombuffer(self._library([f" {self.mark} ".join(pieces)])[0], "<u4")
-        marks = np.flatnonzero(ids == self.mark_ids[0])
-        raw, at, out = ids.tobytes(), 0, []
-        for place in (marks * 4).tolist():
-            out.append(raw[at:place])
-            at = place + 4
-        return [*out, raw[at:]]
+
+def _cut(ids: np.ndarray, stops: np.ndarray) -> list[bytes]:
+    raw, at, out = ids.tobytes(), 0, []
+    for stop in (stops * 4).tolist():
+        out.append(raw[at:stop])
+        at = stop
+    return out
 
 
 def _halves(text: str) -> list[str]:
@@ -259,12 +285,19 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _by_parts(column: pa.Array, work: Callable[[list], list], kind: pa.DataType) -> pa.Array:
+    """`work` over a few rows at a time, so that few are Python objects at once."""
+    starts = range(0, len(column), 256)
+    parts = [pa.array(work(column.slice(k, 256).to_pylist()), kind) for k in starts]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def encode(text: Column, path: str) -> Column:
     """The ids of a text column as binary; tree concatenation within the task."""
 
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
-        return pa.array(byte_encoder(path).encode_tree(texts.to_pylist()), pa.binary())
+        return _by_parts(texts, byte_encoder(path).encode_tree, pa.binary())
 
     return ids.asNondeterministic()(text)
 
@@ -275,7 +308,7 @@ def decode(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def text(column: pa.Array) -> pa.Array:
         coder = byte_encoder(path)
-        return pa.array([coder.decode(one) for one in column.to_pylist()], pa.string())
+        return _by_parts(column, lambda some: [coder.decode(one) for one in some], pa.string())
 
     return text.asNondeterministic()(ids)
 

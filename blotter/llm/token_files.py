@@ -194,10 +194,10 @@ def write(
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
         for batch in batches:
-            names, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
-            for start in range(0, len(names), 512):
-                some = coder.encode(texts[start : start + 512])
-                for name, ids in zip(names[start : start + 512], some):
+            for start in range(0, len(batch), 512):
+                rows = batch.slice(start, 512)
+                some = coder.encode(rows["text"].to_pylist())
+                for name, ids in zip(rows["id"].to_pylist(), some):
                     own = np.frombuffer(ids + end, "<u4")
                     if waiting and held + len(own) > FILE_IDS:
                         yield closed()
