@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import bpe, decontaminate, ngram_join, quality_rules, token_files
+from blotter.llm import bpe, decontaminate, ngram_join, pii, quality_rules, token_files
 from blotter.llm.frames import table
 
 
@@ -14,6 +14,27 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def _listed(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    return F.array_join(F.transform(spans, one), ",")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.by_document(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.expr(f"size(filter(spans, s -> s.base AND s.kind = '{kind}'))").cast("long").alias(f"n_{kind}")
+        for kind in ("email", "ip", "card", "phone")
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
     both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), BYTE_BPE).alias("decoded"))
@@ -59,6 +80,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op2_pii": op2_pii,
         "op3_bpe": op3_bpe,
         "op5_decontaminate": op5_decontaminate,
         "op6_ngram_join": op6_ngram_join,
