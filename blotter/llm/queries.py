@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import bpe, decontaminate, ngram_join, pii, quality_rules, token_files
+from blotter.llm import (
+    bpe,
+    decontaminate,
+    license_scan,
+    ngram_join,
+    pii,
+    quality_rules,
+    sharding,
+    token_files,
+)
 from blotter.llm.frames import table
 
 
@@ -72,6 +81,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.propagated(table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    joined = [F.array_join(name, ",").alias(name) for name in ("base_labels", "labels")]
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score"
+    )
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.new_folder(spark)
     token_files.write(table(spark, sf_dir, "documents"), folder, WORD_BPE)
@@ -85,6 +106,8 @@ def queries() -> dict:
         "op5_decontaminate": op5_decontaminate,
         "op6_ngram_join": op6_ngram_join,
         "op7_quality_rules": op7_quality_rules,
+        "op8_sharding": op8_sharding,
+        "op9_license_scan": op9_license_scan,
         "op10_token_files": op10_token_files,
     }
 
