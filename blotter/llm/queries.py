@@ -12,6 +12,7 @@ from blotter.llm import (
     license_scan,
     ngram_join,
     pii,
+    quality_model,
     quality_rules,
     sharding,
     token_files,
@@ -55,6 +56,16 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Scores from here on predict the label 1.
+GOOD_SCORE = 0.3
+
+
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    found = quality_model.scored(docs, quality_model.fit(docs, labels))
+    return found.withColumn("predicted", (F.col("score") >= GOOD_SCORE).cast("int"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.matches(docs, items).select(
@@ -103,6 +114,7 @@ def queries() -> dict:
     return {
         "op2_pii": op2_pii,
         "op3_bpe": op3_bpe,
+        "op4_quality_model": op4_quality_model,
         "op5_decontaminate": op5_decontaminate,
         "op6_ngram_join": op6_ngram_join,
         "op7_quality_rules": op7_quality_rules,
