@@ -10,6 +10,7 @@ from blotter.llm import (
     bpe,
     decontaminate,
     license_scan,
+    main_text,
     ngram_join,
     pii,
     quality_model,
@@ -30,6 +31,10 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.by_document(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -112,6 +117,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_main_text": op1_main_text,
         "op2_pii": op2_pii,
         "op3_bpe": op3_bpe,
         "op4_quality_model": op4_quality_model,
