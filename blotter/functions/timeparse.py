@@ -42,7 +42,9 @@ def attempt(name: str, fmt: str | None) -> Column:
     """
     text = quoted(name)
     if fmt is None:
-        return F.expr(f"CAST(try_to_timestamp({text}) AS TIMESTAMP_NTZ)")
+        # A zone in the text is passed over and a text of a time only is unreadable,
+        # whatever the session's zone and the day of the run.
+        return F.expr(f"try_cast({text} AS TIMESTAMP_NTZ)")
     parsed = f"CAST(try_to_timestamp({text}, {string(fmt)}) AS TIMESTAMP_NTZ)"
     needed = _separators(fmt)
     if needed is None:
@@ -54,6 +56,18 @@ def attempt(name: str, fmt: str | None) -> Column:
     return F.expr(f"CASE WHEN {' AND '.join(tests)} THEN {parsed} END")
 
 
+def wall_time(expression: str, dtype: T.DataType, zone: str) -> str:
+    """SQL for a typed time as TIMESTAMP_NTZ.
+
+    An instant (TIMESTAMP) becomes the wall time in `zone`, independent of the
+    session's zone; a date its midnight; a time without zone stays.
+    """
+    if not isinstance(dtype, T.TimestampType):
+        return f"CAST({expression} AS TIMESTAMP_NTZ)"
+    utc = f"TIMESTAMP_NTZ'1970-01-01' + unix_micros({expression}) * INTERVAL '0.000001' SECOND"
+    return utc if zone == "UTC" else f"convert_timezone('UTC', {string(zone)}, {utc})"
+
+
 def month_start(name: str) -> Column:
     """First day of the month as a DATE: one 4-byte group key for (year, month)."""
     return F.expr(f"trunc(CAST({quoted(name)} AS DATE), 'month')")
@@ -67,8 +81,15 @@ def weekday_name(name: str) -> Column:
 
 def in_month(name: str, year: int, month: int) -> Column:
     """The column in a calendar month: two comparisons, no calendar work per row."""
-    first = date(year, month, 1)
-    after = date(year + month // 12, month % 12 + 1, 1)
+    return _between(name, date(year, month, 1), date(year + month // 12, month % 12 + 1, 1))
+
+
+def in_year(name: str, year: int) -> Column:
+    """The column in a calendar year."""
+    return _between(name, date(year, 1, 1), date(year + 1, 1, 1))
+
+
+def _between(name: str, first: date, after: date) -> Column:
     return F.expr(
         f"{quoted(name)} >= TIMESTAMP_NTZ'{first}' AND {quoted(name)} < TIMESTAMP_NTZ'{after}'"
     )

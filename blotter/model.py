@@ -18,7 +18,7 @@ from blotter.functions.classify import (
 )
 
 # The text layouts a record's time may have. None is Spark's own
-# string-to-timestamp cast.
+# cast of text to a time without zone.
 SPACE_FORMAT = "M/d/yyyy h:mm:ss a"
 COMMA_FORMAT = "M/d/yyyy, h:mm:ss a"
 TOLERANT_FORMATS = (None, SPACE_FORMAT, COMMA_FORMAT)
@@ -42,7 +42,8 @@ class Source:
     """How one city's raw table maps onto the conformed incident table.
 
     `label` and `short` name the city's columns in side-by-side products
-    (`chicago_crime_count`, `chi_per_100k`).
+    (`chicago_crime_count`, `chi_per_100k`). `zone` is that of the city's wall
+    clock, for sources whose time column holds instants.
     """
 
     city: str
@@ -56,6 +57,7 @@ class Source:
     group_col: str | None = None
     formats: tuple[str | None, ...] = TOLERANT_FORMATS
     strict_formats: tuple[str | None, ...] = (None,)
+    zone: str = "UTC"
     violent: Callable[[], Column] = lambda: F.lit(False)
     categories: tuple[CategoryRule, ...] = ()
 

@@ -8,22 +8,26 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from blotter.functions.sqltext import quoted, string
-from blotter.functions.timeparse import attempt, is_typed
+from blotter.functions.timeparse import attempt, is_typed, wall_time
 from blotter.model import INCIDENT_COLUMNS, Source
 
 
-def conform(raw: DataFrame, source: Source) -> DataFrame:
-    """One source as incidents. Every raw row is kept, parsed or not.
+def conform(raw: DataFrame, source: Source, dated: bool = False) -> DataFrame:
+    """One source as incidents. Every raw row is kept, parsed or not, unless `dated`.
 
-    Coordinates that are no number become null, as unreadable times do. Layouts
-    are tried in a step of their own, so that `ts` and `ts_strict` share them.
+    Coordinates that are no finite number become null, as unreadable times do.
+    Layouts are tried in a step of their own, so that `ts` and `ts_strict` share
+    them. With `dated`, only incidents with a readable time: for a typed time by a
+    filter that reaches the scan, for text with each time parsed once.
     """
     time = quoted(source.time_col)
     group = quoted(source.group_col) if source.group_col else "NULL"
     dtype = raw.select(time).schema[0].dataType  # by name, as Spark resolves it
-    if is_typed(dtype):
-        layouts = {fmt: time for fmt in source.formats + source.strict_formats}
-        tried = raw
+    typed = is_typed(dtype)
+    if typed:
+        wall = wall_time(time, dtype, source.zone)
+        layouts = {fmt: wall for fmt in source.formats + source.strict_formats}
+        tried = raw.filter(F.col(time).isNotNull()) if dated else raw
     else:
         layouts = {
             fmt: f"_time{i}"
@@ -36,15 +40,20 @@ def conform(raw: DataFrame, source: Source) -> DataFrame:
         names = dict.fromkeys(layouts[fmt] for fmt in formats)
         return f"CAST(coalesce({', '.join(names)}) AS TIMESTAMP_NTZ)"
 
-    return tried.selectExpr(
+    def finite(name: str) -> str:
+        number = f"try_cast({quoted(name)} AS DOUBLE)"
+        return f"CASE WHEN abs({number}) < CAST('Infinity' AS DOUBLE) THEN {number} END"
+
+    found = tried.selectExpr(
         f"{string(source.city)} AS city",
         f"{first_of(source.formats)} AS ts",
         f"{first_of(source.strict_formats)} AS ts_strict",
         f"CAST({quoted(source.offense_col)} AS STRING) AS offense_type",
         f"CAST({group} AS STRING) AS offense_group",
-        f"try_cast({quoted(source.longitude_col)} AS DOUBLE) AS longitude",
-        f"try_cast({quoted(source.latitude_col)} AS DOUBLE) AS latitude",
+        f"{finite(source.longitude_col)} AS longitude",
+        f"{finite(source.latitude_col)} AS latitude",
     )
+    return _parsed_once(found) if dated and not typed else found
 
 
 def union_incidents(frames: Iterable[DataFrame]) -> DataFrame:
@@ -56,13 +65,23 @@ def union_incidents(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).select(*INCIDENT_COLUMNS)
 
 
-def incidents(raws: Iterable[tuple[Source, DataFrame]]) -> DataFrame:
-    """The conformed incident table over any number of sources."""
-    return union_incidents(conform(raw, source) for source, raw in raws)
+def incidents(raws: Iterable[tuple[Source, DataFrame]], dated: bool = False) -> DataFrame:
+    """The conformed incident table over any number of sources; see `conform` for `dated`."""
+    return union_incidents(conform(raw, source, dated) for source, raw in raws)
+
+
+def distinct_cities(sources: Iterable[Source]) -> list[str]:
+    """The sources' cities; a city may be described once only."""
+    cities = [source.city for source in sources]
+    if len(set(cities)) < len(cities):
+        raise ValueError(f"sources share a city: {cities}")
+    return cities
 
 
 def per_source(
-    raws: Sequence[tuple[Source, DataFrame]], rollup: Callable[[DataFrame], DataFrame]
+    raws: Sequence[tuple[Source, DataFrame]],
+    rollup: Callable[[DataFrame], DataFrame],
+    dated: bool = False,
 ) -> DataFrame:
     """`rollup`, which must group by city, over the incidents of several sources.
 
@@ -70,18 +89,17 @@ def per_source(
     two sources have a city in common. Spark compiles a scan and the partial
     aggregate above it into one loop, but not with a union between the two.
     """
-    cities = [source.city for source, _ in raws]
-    if len(set(cities)) < len(cities):
-        raise ValueError(f"sources share a city: {cities}")
-    return reduce(DataFrame.unionByName, [rollup(conform(raw, source)) for source, raw in raws])
+    distinct_cities(source for source, _ in raws)
+    return reduce(
+        DataFrame.unionByName, [rollup(conform(raw, source, dated)) for source, raw in raws]
+    )
 
 
-def dated(incidents: DataFrame) -> DataFrame:
-    """Incidents with a readable time, each time parsed once.
+def _parsed_once(incidents: DataFrame) -> DataFrame:
+    """Incidents with a readable time, still to be parsed from text.
 
-    For incidents still to be parsed from text. A plain filter would be pushed
-    below the parse and repeat it; a generator stays above. On a stored table
-    use the filter, which reaches the scan.
+    A plain filter would be pushed below the parse and repeat it; a generator
+    stays above.
     """
     others = [c for c in incidents.columns if c != "ts"]
     known = F.when(F.col("ts").isNotNull(), F.array("ts"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from blotter.functions.classify import OTHER, CategoryRule, category
+from blotter.functions.classify import OTHER, CategoryRule, category, offense_in
 from blotter.functions.timeparse import WEEKDAYS, weekday_name
 
 # Latitude that parts north from south, and the offenses mapped.
@@ -76,7 +76,7 @@ def zone_points(
 ) -> DataFrame:
     """Points of the named offenses, in any case, with their side of the boundary."""
     zone = F.when(F.col("latitude") >= boundary, F.lit("North")).otherwise(F.lit("South"))
-    return points.filter(F.upper("offense_type").isin(*offenses)).select(
+    return points.filter(offense_in(offenses)()).select(
         "longitude", "latitude", "offense_type", zone.alias("zone")
     )
 
@@ -129,7 +129,10 @@ def heatmap(hourly: DataFrame, city: str) -> DataFrame:
 
 
 def population_line(adjusted: DataFrame, year: int) -> DataFrame:
-    """One year of `population_adjusted` by month, with a YYYY-MM label."""
+    """One year of `population_adjusted` by month, with a YYYY-MM label.
+
+    Over raw sources, cut the incidents to the year first (`timeparse.in_year`).
+    """
     label = F.format_string("%d-%02d", "year", "month")
     return (
         adjusted.filter(F.col("year") == year)
@@ -162,10 +165,10 @@ def category_distribution(
 
     The right city's missing categories are 0, its additional ones dropped;
     `how="full"` keeps them. Both sides are at most the rules' categories and
-    Other, so the join is a broadcast.
+    Other, so Spark has a small join to plan by its own measure.
     """
     a, b = f"{left.label}_crime_count", f"{right.label}_crime_count"
     joined = _category_totals(left_offenses, left.categories, a).join(
-        F.broadcast(_category_totals(right_offenses, right.categories, b)), "category", how
+        _category_totals(right_offenses, right.categories, b), "category", how
     )
     return joined.na.fill(0, [a, b]).orderBy(F.desc(a), "category")

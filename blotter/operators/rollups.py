@@ -1,9 +1,8 @@
 """Additive rollups of the incident table, and products computed from them.
 
 A rollup takes any frame with the key columns it groups by and an additive
-`crime_count`: `keyed` incidents, where each row counts 1, or `cube`, where
-those have been summed once. Reading the cube, all count products together cost
-one pass over the incidents.
+`crime_count`: `keyed` incidents, where each row counts 1, or one of the small
+cubes, where those have been summed once for several rollups.
 """
 
 from __future__ import annotations
@@ -16,17 +15,6 @@ from blotter.functions.classify import violent_label
 from blotter.functions.timeparse import month_start, weekday_name
 from blotter.model import Source
 
-CUBE_KEYS = (
-    "city",
-    "month_start",
-    "month_start_strict",
-    "weekday",
-    "hour",
-    "offense_type",
-    "offense_group",
-)
-
-
 def keyed(incidents: DataFrame) -> DataFrame:
     """Incidents with the rollups' keys and a count of 1; unused keys are pruned."""
     return incidents.select(
@@ -41,9 +29,18 @@ def keyed(incidents: DataFrame) -> DataFrame:
     )
 
 
-def cube(incidents: DataFrame) -> DataFrame:
-    """Counts at the finest grain any rollup needs."""
-    return _total(keyed(incidents), *CUBE_KEYS)
+def time_cube(incidents: DataFrame) -> DataFrame:
+    """Counts by city, month, weekday and hour: at most 168 a month and city."""
+    return _total(keyed(incidents), "city", "month_start", "weekday", "hour")
+
+
+def strict_cube(incidents: DataFrame, sources: Sequence[Source]) -> DataFrame:
+    """Counts by city, strictly read month and violence: at most 2 a month and city.
+
+    The rule is applied to incidents, so no offense name becomes a key.
+    """
+    ruled = keyed(incidents).withColumn("is_violent", _is_violent(sources))
+    return _total(ruled, "city", "month_start_strict", "is_violent")
 
 
 def _total(counts: DataFrame, *keys: str) -> DataFrame:
@@ -99,11 +96,11 @@ def city_offense_counts(offenses: DataFrame, city: str) -> DataFrame:
 def offense_share(offenses: DataFrame) -> DataFrame:
     """`offense_counts` with the city's total and each offense's share of it.
 
-    The totals, one row per source, are broadcast. A window by city would put
-    all offenses of a city into one task, and free text has no bound on them.
+    The totals are joined, one row per city. A window by city would put all
+    offenses of a city into one task, and free text has no bound on them.
     """
     totals = offenses.groupBy("city").agg(F.sum("crime_count").alias("total_crime"))
-    return offenses.join(F.broadcast(totals), "city").select(
+    return offenses.join(totals, "city").select(
         "city",
         "offense_type",
         "crime_count",
@@ -112,17 +109,23 @@ def offense_share(offenses: DataFrame) -> DataFrame:
     )
 
 
-def violent_monthly(counts: DataFrame, sources: Sequence[Source]) -> DataFrame:
+def _is_violent(sources: Sequence[Source]) -> Column:
+    """By the rule of the incident's source; what the rule says nothing of, null included, is not."""
+    found = F.lit(False)
+    for source in sources:
+        found = F.when(F.col("city") == source.city, source.violent()).otherwise(found)
+    return F.coalesce(found, F.lit(False))
+
+
+def violent_monthly(counts: DataFrame, sources: Sequence[Source] = ()) -> DataFrame:
     """(city, year, month, crime_group, crime_count), by each source's own rule.
 
-    Uses strictly read times. An offense the rule says nothing about, null
-    included, is non-violent.
+    Uses strictly read times. Takes keyed incidents and the sources, or the
+    `strict_cube`, where the rule has been applied.
     """
-    is_violent = F.lit(False)
-    for source in sources:
-        is_violent = F.when(F.col("city") == source.city, source.violent()).otherwise(is_violent)
-    ruled = counts.withColumn("is_violent", F.coalesce(is_violent, F.lit(False)))
-    return _dated_total(ruled, "month_start_strict", "is_violent").select(
+    if "is_violent" not in counts.columns:
+        counts = counts.withColumn("is_violent", _is_violent(sources))
+    return _dated_total(counts, "month_start_strict", "is_violent").select(
         "city",
         F.year("month_start_strict").alias("year"),
         F.month("month_start_strict").alias("month"),

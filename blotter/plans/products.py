@@ -1,34 +1,61 @@
 """All stored products, from raw sources to tables.
 
-Raw text is parsed once, into the incident table. One pass over that gives the
-count cube, and every count product is computed from the cube or from another
-product. Each step reads what the one before has written, so a lost executor
-costs at most the step it worked on.
+The raw sources are stored as they came, and parsed once, into the incident table.
+That is laid out by city and month; two small cubes and the offense counts come from
+it, and every other count product from those or from another product. Each step reads
+what the one before has written, so a lost executor costs at most the step it worked on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from blotter.functions.timeparse import month_start
 from blotter.model import Source
 from blotter.operators import rollups
-from blotter.operators.conform import incidents
+from blotter.operators.conform import distinct_cities, incidents
 from blotter.sources.tables import create_database, save_counted, save_table
 
+INCIDENT_PARTITIONS = ("city", "month_start")
 COORDINATE_PARTITIONS = ("city", "year", "month")
 
+# The products that are shown in an order, and that order.
+PRODUCT_ORDER = {
+    "crime_by_offense_norm": ("crime_count", "city"),
+    "crime_monthly_compare": ("year", "month"),
+    "crime_vp_monthly": ("year", "month"),
+    "crime_hourly": ("day_of_week",),
+}
+
+
+def read_product(spark: SparkSession, database: str, name: str) -> DataFrame:
+    """A stored product, in its order if it has one.
+
+    Order is not kept in tables, so it is applied here; the remaining columns
+    decide between rows that the order leaves equal.
+    """
+    found = spark.table(f"`{database}`.`{name}`")
+    order = PRODUCT_ORDER.get(name)
+    if order is None and name.startswith("crime_monthly_compare_"):
+        order = PRODUCT_ORDER["crime_monthly_compare"]
+    if order is None:
+        return found
+    return found.orderBy(*order, *[c for c in found.columns if c not in order])
+
 
 def build_products(
     spark: SparkSession, database: str, raws: Sequence[tuple[Source, DataFrame]]
 ) -> dict[str, int]:
     """Write every product into `database`; returns the rows ingested per city.
 
-    The first two sources are the ones compared with each other.
+    Any number of sources, each of another city. Every two are compared: the first
+    two under the plain names, others with both cities' short names added.
     """
     sources = [source for source, _ in raws]
-    left, right = sources[:2]
+    cities = distinct_cities(sources)
     create_database(spark, database)
 
     def table(name: str) -> str:
@@ -38,16 +65,23 @@ def build_products(
         save_table(df, table(name), partition_by)
         return spark.table(table(name))
 
-    ingested = save_counted(incidents(raws), table("incidents"), [s.city for s in sources])
+    kept = [(source, stored(f"{source.short}_raw", raw)) for source, raw in raws]
+
+    # Rebalancing gives each month few files, and splits the month that holds much of
+    # the data over several tasks.
+    by_month = incidents(kept).withColumn("month_start", month_start("ts"))
+    by_month = by_month.hint("rebalance", *INCIDENT_PARTITIONS)
+    ingested = save_counted(by_month, table("incidents"), cities, INCIDENT_PARTITIONS)
     facts = spark.table(table("incidents"))
 
-    counts = stored("incident_counts", rollups.cube(facts))
-    months = stored("crime_monthly", rollups.monthly(counts))
-    stored("crime_monthly_strict", rollups.monthly(counts, strict=True))
-    stored("crime_hourly", rollups.hourly(counts))
-    stored("crime_vp_monthly", rollups.violent_monthly(counts, sources))
+    times = stored("incident_times", rollups.time_cube(facts))
+    months = stored("crime_monthly", rollups.monthly(times))
+    stored("crime_hourly", rollups.hourly(times))
+    strict = stored("incident_violence", rollups.strict_cube(facts, sources))
+    stored("crime_monthly_strict", rollups.monthly(strict, strict=True))
+    stored("crime_vp_monthly", rollups.violent_monthly(strict))
 
-    offenses = stored("crime_by_offense", rollups.offense_counts(counts))
+    offenses = stored("crime_by_offense", rollups.offense_counts(rollups.keyed(facts)))
     stored("crime_by_offense_norm", rollups.offense_share(offenses))
     for source in sources:
         stored(
@@ -55,13 +89,17 @@ def build_products(
             rollups.city_offense_counts(offenses, source.city),
         )
 
-    compared = stored("crime_monthly_compare", rollups.monthly_compare(months, left, right))
-    stored(
-        "crime_monthly_pop_adjusted", rollups.population_adjusted(compared, left, right)
-    )
+    for number, (left, right) in enumerate(combinations(sources, 2)):
+        suffix = f"_{left.short}_{right.short}" if number else ""
+        compared = stored(
+            f"crime_monthly_compare{suffix}", rollups.monthly_compare(months, left, right)
+        )
+        stored(
+            f"crime_monthly_pop_adjusted{suffix}",
+            rollups.population_adjusted(compared, left, right),
+        )
 
-    # Rebalancing gives each month few files, and splits the month that holds
-    # much of the data over several tasks.
-    located = rollups.coordinates(facts).hint("rebalance", *COORDINATE_PARTITIONS)
-    stored("crime_coordinates_monthly", located, COORDINATE_PARTITIONS)
+    # The incidents lie by month already: each task writes the months it reads.
+    located = facts.filter(F.col("month_start").isNotNull())
+    stored("crime_coordinates_monthly", rollups.coordinates(located), COORDINATE_PARTITIONS)
     return ingested

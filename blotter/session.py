@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 SETTINGS = {
-    # Source text is local wall-clock time; one fixed zone keeps the hour and
-    # weekday of a record as written.
+    # Results hold zone-less times; this only concerns what else the session prints.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -15,9 +14,6 @@ SETTINGS = {
     # instead of sorting every task's rows first. A task of the incident table
     # has one city only, so the sort would buy nothing.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
-    # Lets "first n rows per lane" (sources.extract) drop rows before its
-    # shuffle for extracts larger than Spark's default of 1000.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 

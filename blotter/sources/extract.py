@@ -2,59 +2,110 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import tempfile
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A top-n this small is cheap however many tasks contribute to it.
-_SMALL = 1000
-# Merging is done in this many lanes before the last step.
-_LANES = 256
-# Stands for "no end".
-_NEVER = datetime(9999, 12, 31, 23, 59, 59)
+from blotter.functions.timeparse import attempt, is_typed, wall_time
+from blotter.functions.sqltext import quoted
+from blotter.model import Source
 
 
-def first_n(raw: DataFrame, time_col: str, n: int) -> DataFrame:
-    """The n earliest rows by a date or timestamp column; rows without one come last.
+def _time(raw: DataFrame, source: Source) -> Column:
+    """The record's time as `conform` reads it, TIMESTAMP_NTZ."""
+    name = quoted(source.time_col)
+    dtype = raw.select(name).schema[0].dataType
+    if is_typed(dtype):
+        return F.expr(wall_time(name, dtype, source.zone))
+    return F.coalesce(*[attempt(source.time_col, fmt) for fmt in source.formats])
 
-    The remaining columns break ties, so only equal rows can stand for each
-    other and a rerun gives the same result.
 
-    A plain top-n has every task send n rows to a single one. Here a count per
-    day, one row per calendar day whatever the data size, gives the day in which
-    the n-th row falls, and only rows up to the end of that day are ranked. In
-    case that day alone is large, tasks first merge in a fixed number of lanes.
+def _bound(counts: DataFrame, n: int) -> tuple[object, int] | None:
+    """The first `step` at which the rows so far reach n, and the rows before it."""
+    running = F.sum("rows").over(Window.orderBy("step"))
+    reached = counts.withColumn("upto", running).filter(F.col("upto") >= n)
+    found = reached.orderBy("step").select("step", (F.col("upto") - F.col("rows")).alias("before")).first()
+    return (found["step"], found["before"]) if found else None
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """Rows kept in the shared folder that spark.checkpoint.dir names."""
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="blotter-checkpoint-"))
+    return df.checkpoint()
+
+
+def _first_of_equal_time(rows: DataFrame, k: int, order: list[Column]) -> DataFrame:
+    """The k first rows in `order`, over any number of tasks.
+
+    Equal rows are counted, not kept apart. The others are sorted by ranges; a
+    row's place follows from the rows of the ranges before and those before it in
+    its own. The ranges are stored, so that both sums are over the same ones.
+    """
+    columns = rows.columns
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # The number grows along the sorted ranges: range in its high 31 bits.
+    numbered = counted.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = _stored(numbered.withColumn("_number", F.monotonically_increasing_id()))
+    part = F.shiftright("_number", 33)
+    earlier = (Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy(part.alias("_part")).agg(F.sum("_copies").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(*earlier))  # one row a range
+    sizes = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.sum("_copies").over(Window.partitionBy("_part").orderBy("_number").rowsBetween(*earlier))
+    placed = numbered.withColumn("_part", part).withColumn("_inside", F.coalesce(inside, F.lit(0)))
+    placed = placed.join(sizes, "_part")
+    taken = F.least("_copies", F.lit(k) - F.col("_before") - F.col("_inside")).cast("int")
+    placed = placed.withColumn("_taken", taken).filter("_taken > 0")
+    copies = placed.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("_taken"))).alias("_copy"))
+    return copies.select(*columns)
+
+
+def first_n(raw: DataFrame, source: Source, n: int) -> DataFrame:
+    """The n earliest rows of a source, with its own columns, in order.
+
+    Rows are ordered by their time as `conform` reads it, typed or text; rows
+    without a readable one come last. The raw columns break ties, so only equal rows
+    can stand for each other and a rerun gives the same result.
+
+    The time of the n-th row is narrowed down by counts, first per day, then per
+    second of that day, which runs two small jobs here. All rows before that second
+    are taken as they are; only the second's own rows, or those without a time, are
+    ranked, and the result is sorted by ranges. No task ever holds n rows.
     """
-    ties = [F.asc_nulls_last(c) for c in raw.columns if c != time_col]
-    order = [F.asc_nulls_last(time_col), *ties]
-    if n <= _SMALL:
-        return raw.orderBy(*order).limit(n)
-
-    time = F.col(time_col)
-    dtype = raw.select(time).schema[0].dataType
-    never = F.lit(_NEVER).cast(dtype)
-    day = time.cast("date")
-    days = raw.groupBy(day.alias("day")).agg(F.count(time_col).alias("rows"))
-    running = F.sum("rows").over(Window.orderBy("day"))  # calendar days only
-    next_day = F.date_add(F.min("day"), 1).cast(dtype)
-    end = (
-        days.withColumn("running", running)
-        .filter(F.col("running") >= n)
-        .agg(F.coalesce(next_day, never))
-        .scalar()
-    )
-    # No such day means fewer than n dated rows: then all rows are candidates.
-    # The first filter is the looser one, but one that a Parquet scan can use
-    # (on dates and zoned timestamps with statistics). The second compares days,
-    # as Spark would merge two comparisons of times.
-    in_range = (time < end) | time.isNull() | (time >= never)
-    exact = (F.datediff(end.cast("date"), day) > 0) | (end == never)
-    candidates = raw.filter(in_range).filter(exact)
-
-    place = F.row_number().over(Window.partitionBy("_lane").orderBy(*order))
-    merged = (
-        candidates.withColumn("_lane", F.spark_partition_id() % _LANES)
-        .withColumn("_place", place)
-        .filter(F.col("_place") <= n)
-    )
-    return merged.select(*raw.columns).orderBy(*order).limit(n)
+    columns = raw.columns
+    timed = raw.withColumn("_time", _time(raw, source))
+    ties = [F.asc_nulls_last(quoted(c)) for c in columns]
+    order = [F.asc_nulls_last("_time"), *ties]
+    days = timed.filter("_time IS NOT NULL").groupBy(F.col("_time").cast("date").alias("step"))
+    bound = _bound(days.agg(F.count(F.lit(1)).alias("rows")), n)
+    if bound is None:
+        dated = timed.filter("_time IS NOT NULL")
+        undated = timed.filter("_time IS NULL")
+        found = dated.unionByName(_first_of_equal_time(undated, n - dated.count(), ties))
+    else:
+        day, before = bound
+        # A whole day behind the last representable one is not asked for.
+        in_day = F.expr(f"CAST(_time AS DATE) = DATE'{day}'")
+        second = F.date_trunc("second", F.col("_time"))
+        counts = timed.filter(in_day).groupBy(second.alias("step")).agg(F.count(F.lit(1)).alias("rows"))
+        instant, within = _bound(counts, n - before)
+        upto: datetime = instant
+        raw_before = _earlier(timed, upto)
+        hot = timed.filter(_in_second(upto))
+        found = raw_before.unionByName(_first_of_equal_time(hot, n - before - within, order))
+    return found.orderBy(*order).select(*[quoted(c) for c in columns])
+
+
+def _literal(time: datetime) -> str:
+    return f"TIMESTAMP_NTZ'{time.isoformat(sep=' ')}'"
+
+
+def _earlier(timed: DataFrame, time: datetime) -> DataFrame:
+    return timed.filter(f"_time < {_literal(time)}")
+
+
+def _in_second(time: datetime) -> Column:
+    return F.expr(f"_time >= {_literal(time)} AND _time < {_literal(time + timedelta(seconds=1))}")

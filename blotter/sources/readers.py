@@ -11,17 +11,18 @@ def read_csv(
     schema: T.StructType | None = None,
     infer: bool = False,
 ) -> DataFrame:
-    """CSV files with a header line.
+    """CSV files with a header line, bound to columns by that line.
 
-    By default every column is text and takes its name from the header, so
-    columns may come in any order and nothing is read twice: `conform` does the
-    typing. `infer` costs one more pass over the files and lets the types depend
-    on the data. An explicit schema is matched to the file by position, and
-    checked against the header.
+    By default every column is text and takes its name from the header: `conform`
+    does the typing. All files must have the same header. Each file's is compared
+    when the file is read, and one with columns in another order, without one of
+    them or with another raises, as values would end up in the wrong columns; read
+    such files apart and unite them with `unionByName(allowMissingColumns=True)`.
+    `infer` costs one more pass over the files and lets the types depend on the
+    data. An explicit schema names the header's columns in its order.
     """
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    elif infer:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        schema = spark.read.option("header", True).option("inferSchema", infer).csv(path).schema
+    checked = spark.read.option("header", True).option("enforceSchema", False)
+    # Without pruning, the whole of every header is compared.
+    return checked.option("columnPruning", False).schema(schema).csv(path)

@@ -15,12 +15,26 @@ def create_database(spark: SparkSession, name: str) -> None:
 def save_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """Write `df` as a Parquet table, replacing an earlier one.
 
-    Rows are not sorted: order in a table binds no later reader.
+    The rows are written under another name first and take the table's name when
+    all of them are there: until then the earlier table stays as it is, and stays
+    if the write fails. Rows are not sorted: order in a table binds no later reader.
     """
+    spark = df.sparkSession
+    quoted_name = name.endswith("`")
+    staged = f"{name[:-1]}__next`" if quoted_name else f"{name}__next"
     writer = df.write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    # A catalog's list of partitions names folders, which the new name changes; without
+    # one, Spark finds a table's partitions in its folder.
+    listed = spark.conf.get("spark.sql.hive.manageFilesourcePartitions")
+    spark.conf.set("spark.sql.hive.manageFilesourcePartitions", "false")
+    try:
+        writer.saveAsTable(staged)
+    finally:
+        spark.conf.set("spark.sql.hive.manageFilesourcePartitions", listed)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
 
 
 def save_counted(

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from blotter.model import CHICAGO, DC, INCIDENT_COLUMNS
-from blotter.operators.conform import conform, dated, incidents, per_source
+from blotter.operators.conform import conform, incidents, per_source
 from blotter.operators import rollups
-from tests.helpers import incidents_of, ordered, plan, rows
+from tests.helpers import ordered, plan, rows
 
 
 def dc_raw(spark, *records):
@@ -94,8 +94,21 @@ def test_per_source_refuses_a_shared_city(spark):
 
 
 def test_dated_drops_undated_rows_only(spark):
-    day = datetime(2025, 1, 1)
-    df = incidents_of(spark, {"city": "A", "ts": day}, {"city": "B"}, {"city": "C", "ts": day})
-    out = dated(df)
-    assert out.columns == df.columns
-    assert rows(out) == rows(df.filter("ts IS NOT NULL"))
+    text = dc_raw(
+        spark, ("2025-01-01 00:00:00", "A", "b", "1", "2"), ("junk", "B", None, None, None), (None,) * 5
+    )
+    typed = spark.sql(
+        "SELECT col1 AS date, 'A' AS primary_type, 1 AS latitude, 2 AS longitude"
+        " FROM VALUES (timestamp_ntz'2025-01-01'), (null)"
+    )
+    raws = [(DC, text), (CHICAGO, typed)]
+    out = incidents(raws, dated=True)
+    assert tuple(out.columns) == INCIDENT_COLUMNS
+    assert rows(out) == rows(incidents(raws).filter("ts IS NOT NULL"))
+    assert out.count() == 2
+
+
+def test_coordinates_that_are_not_finite_become_null(spark):
+    raw = dc_raw(spark, *[(None, "A", None, x, x) for x in ("NaN", "Infinity", "-Infinity", "-1e300", "7")])
+    out = ordered(conform(raw, DC).select("longitude", "latitude"))
+    assert out == [(None, None)] * 3 + [(-1e300, -1e300), (7.0, 7.0)]

@@ -3,11 +3,25 @@
 import pytest
 
 import __spark_entry__ as registry
+import oracle
 from tests.parity import assert_same_rows, duckdb_on
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = registry.queries()
-ORACLE = registry.oracle_sql()
+QUERIES = registry.core_queries()
+ORACLE = oracle.oracle_sql()
+# Queries that promise an order, and the order: columns, those that descend after a minus.
+ORDERED = {
+    "extract_first_n": ("date",),
+    "crimes_by_hour": ("hour",),
+    "crimes_by_day": ("day_of_week",),
+    "most_offense": ("city",),
+    "least_offense": ("city",),
+    "top_offense_groups": ("offense_group",),
+    "heatmap": ("weekday",),
+    "population_line": ("month",),
+    "category_distribution": ("-chicago_crime_count", "category"),
+    "category_distribution_full": ("-chicago_crime_count", "category"),
+}
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +41,16 @@ def test_query_matches_sql(spark, duck, key):
     assert rows > 0
 
 
+@pytest.mark.parametrize("key", ORDERED)
+def test_query_keeps_its_order(spark, key):
+    def place(row):
+        return [-row[c[1:]] if c[0] == "-" else row[c] for c in ORDERED[key]]
+
+    places = [place(row) for row in QUERIES[key](spark, SF_DIR).collect()]
+    assert places == sorted(places)
+    assert len(places) > 1
+
+
 def test_entry(spark):
     result = registry.entry(spark)
     assert result.columns == ["city", "year", "month", "crime_count"]

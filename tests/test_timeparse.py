@@ -10,9 +10,11 @@ from blotter.functions.timeparse import (
     in_month,
     is_typed,
     month_start,
+    wall_time,
     weekday_name,
 )
 from blotter.model import COMMA_FORMAT, SPACE_FORMAT, TOLERANT_FORMATS
+from blotter.session import configure
 from tests.helpers import ordered
 
 
@@ -33,6 +35,9 @@ def parsed(spark, texts, formats=TOLERANT_FORMATS):
         ("7/4/2025 3:06:07 PM", datetime(2025, 7, 4, 15, 6, 7)),
         ("07/04/2025 03:06:07 pm", datetime(2025, 7, 4, 15, 6, 7)),
         ("7/4/2025, 12:06:07 AM", datetime(2025, 7, 4, 0, 6, 7)),
+        ("2025-07-04T15:06:07-05:00", datetime(2025, 7, 4, 15, 6, 7)),
+        ("2025-07-04T15:06:07Z", datetime(2025, 7, 4, 15, 6, 7)),
+        ("12:30:00", None),
         ("not a date", None),
         ("13/45/2025, 3:06:07 PM", None),
         ("7/4/2025", None),
@@ -44,6 +49,21 @@ def test_layouts(spark, text, expected):
     assert parsed(spark, [text]) == [expected]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Chicago", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone):
+    """Text keeps the hour written; an instant becomes the wall time of the source's zone."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert parsed(spark, ["2025-07-04T15:06:07-05:00", "7/4/2025 3:06:07 PM"]) == [
+            datetime(2025, 7, 4, 15, 6, 7)] * 2
+        instant = spark.sql("SELECT timestamp_micros(1751641567000001) AS t")  # 15:06:07.000001 UTC
+        for own, hour in (("UTC", 15), ("America/Chicago", 10)):
+            found = instant.select(F.expr(wall_time("t", instant.schema[0].dataType, own)))
+            assert found.first()[0] == datetime(2025, 7, 4, hour, 6, 7, 1)
+    finally:
+        configure(spark)
+
+
 def test_strict_layout_reads_its_own_only(spark):
     texts = ["7/4/2025, 3:06:07 PM", "7/4/2025 3:06:07 PM", "2025-07-04 15:06:07"]
     assert parsed(spark, texts, (COMMA_FORMAT,)) == [datetime(2025, 7, 4, 15, 6, 7), None, None]
@@ -63,10 +83,10 @@ def test_separator_tests_change_no_result(spark):
         texts.append("".join(text))
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     plain = F.coalesce(
-        F.try_to_timestamp("x"),
-        F.try_to_timestamp("x", F.lit(SPACE_FORMAT)),
-        F.try_to_timestamp("x", F.lit(COMMA_FORMAT)),
-    ).cast("timestamp_ntz")
+        F.expr("try_cast(x AS TIMESTAMP_NTZ)"),
+        F.try_to_timestamp("x", F.lit(SPACE_FORMAT)).cast("timestamp_ntz"),
+        F.try_to_timestamp("x", F.lit(COMMA_FORMAT)).cast("timestamp_ntz"),
+    )
     tolerant = parse_time("x", TOLERANT_FORMATS)
     assert df.filter(~tolerant.eqNullSafe(plain)).collect() == []
     assert df.filter(tolerant.isNotNull()).count() > 100
