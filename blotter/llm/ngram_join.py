@@ -10,7 +10,7 @@
    enter the index lists of their first n-grams, with their positions.
 4. Set relations: the sets of a list are first compared with the list's leader only.
    Sets in one group by then need no comparison. Of the rest, entries are skipped by
-   position and size, and answers are derived from the leader's: what a set shares
+   position, size and bitmap, and answers are derived from the leader's: what a set shares
    with the leader, and what it lacks of it, bounds what it shares with another set.
    Only pairs that all bounds leave are compared, exactly.
 """
@@ -39,7 +39,11 @@ from blotter.llm.words import (
 WIDTH = 5
 PERCENT = 75
 #: N-grams that a task holds before it hands on its blocks.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
+#: Texts that a task works on at once.
+ROWS = 1000
+#: Length of a set's bitmap, by which most pairs that cannot link are told apart.
+BITS = 1024
 #: Sets of a list that are compared with all its others in one round.
 PER_ROUND = 64
 
@@ -90,11 +94,19 @@ def _described(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.
 def set_of(text: Column, width: int = WIDTH) -> Column:
     """Struct of a text's number of distinct n-grams and the key of the set, null for no set."""
 
+    kind = pa.struct([("n", pa.int64()), ("key", pa.int64())])
+
     @F.arrow_udf("struct<n: bigint, key: bigint>")
     def describe(texts: pa.Array) -> pa.Array:
-        sizes, keys, _, _ = _described(texts, width)
-        key = pa.array(keys.view(np.int64), pa.int64(), mask=sizes == 0)
-        return pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), key], names=["n", "key"])
+        parts = []
+        for start in range(0, len(texts), ROWS):
+            sizes, keys, _, _ = _described(texts.slice(start, ROWS), width)
+            key = pa.array(keys.view(np.int64), pa.int64(), mask=sizes == 0)
+            parts.append(
+                pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), key], names=["n", "key"])
+            )
+        pa.default_memory_pool().release_unused()
+        return pa.concat_arrays(parts or [pa.array([], kind)])
 
     return describe.asNondeterministic()(text)
 
@@ -144,7 +156,7 @@ def _index(texts: DataFrame, width: int, buckets: int) -> DataFrame:
             yield from pa.Table.from_batches(made, _PACKED).combine_chunks().to_batches()
 
         count = 0
-        for texts in (b["text"].slice(k, 1000) for b in batches for k in range(0, len(b), 1000)):
+        for texts in (b["text"].slice(k, ROWS) for b in batches for k in range(0, len(b), ROWS)):
             sizes, keys, h, r = _described(texts, width)
             new = np.zeros(len(keys), bool)
             for k, key in enumerate(keys.tolist()):
@@ -160,6 +172,7 @@ def _index(texts: DataFrame, width: int, buckets: int) -> DataFrame:
                 held, count = [], 0
         if count:
             yield from flushed()
+        pa.default_memory_pool().release_unused()
 
     kind = "bucket int, keys binary, counts binary, grams binary"
     return texts.mapInArrow(packed, kind)
@@ -242,8 +255,9 @@ def _shared(index: DataFrame, buckets: int) -> DataFrame:
 def _core(shared: DataFrame, percent: int) -> DataFrame:
     """The sets that may link: key, n, their shared n-grams, and the index entries.
 
-    `grams` has the shared n-grams as sorted 64-bit integers. `first` has those among
-    the set's first n-grams from rare to frequent, `at` the position of the first of them.
+    `grams` has the `shared` n-grams as sorted 64-bit integers, `bits` a bitmap of them.
+    `first` has those among the set's first n-grams from rare to frequent, `at` the
+    position of the first of them.
     """
 
     def choose(group: pa.Table) -> pa.Table:
@@ -268,6 +282,10 @@ def _core(shared: DataFrame, percent: int) -> DataFrame:
         alone = n - (ends - starts)
         first = n + (-percent * n // 100) + 1  # n - ceil(n * percent / 100) + 1
         rows = np.flatnonzero(alone < first)
+        bit = mixed(gram) % np.uint64(BITS)
+        word, flag = (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63))
+        bits = np.zeros((len(starts), BITS // 64), np.uint64)
+        np.bitwise_or.at(bits, (np.repeat(np.arange(len(starts)), ends - starts), word), flag)
         return pa.table(
             {
                 "key": pa.array(key[starts][rows].view(np.int64), pa.int64()),
@@ -283,10 +301,15 @@ def _core(shared: DataFrame, percent: int) -> DataFrame:
                     pa.list_(pa.int64()),
                 ),
                 "at": pa.array(alone[rows], pa.int64()),
+                "shared": pa.array((ends - starts)[rows], pa.int64()),
+                "bits": pa.array(list(bits[rows].view(np.int64)), pa.list_(pa.int64())),
             }
         )
 
-    kind = "key bigint, n bigint, grams binary, first array<bigint>, at bigint"
+    kind = (
+        "key bigint, n bigint, grams binary, first array<bigint>, at bigint, shared bigint,"
+        " bits array<bigint>"
+    )
     return shared.groupBy("bucket").applyInArrow(choose, kind)
 
 
@@ -316,6 +339,12 @@ def _within(overlap: str, percent: int) -> str:
     return f"100 * ({overlap}) >= {percent} * (n + m - ({overlap}))"
 
 
+def _lacking(bits: str, others: str) -> str:
+    """SQL for the number of bits of one bitmap that are not in another."""
+    each = f"zip_with({bits}, {others}, (a, b) -> bit_count(a & ~b))"
+    return f"aggregate({each}, 0, (sum, one) -> sum + one)"
+
+
 def _linked(core: DataFrame, percent: int, per_round: int) -> DataFrame:
     """Links (a, b) that connect all that any links connect."""
     entries = core.select(
@@ -344,7 +373,7 @@ def _linked(core: DataFrame, percent: int, per_round: int) -> DataFrame:
         most = sizes.groupBy("gram").agg(
             F.max(F.struct("count", "component")).alias("t"), F.count("*").alias("groups")
         ).filter("groups > 1").select("gram", F.col("t.component").alias("largest"))
-        open_lists = stored(mine.join(most, "gram"))
+        open_lists = stored(mine.join(most, "gram").join(core.select("key", "shared", "bits"), "key"))
         if open_lists.isEmpty():
             return links
         # Outside a list's largest group: some sets a round, each against all others.
@@ -357,8 +386,14 @@ def _linked(core: DataFrame, percent: int, per_round: int) -> DataFrame:
             F.col("n").alias("m"),
             F.col("at").alias("other_at"),
             F.col("component").alias("other_component"),
+            F.col("shared").alias("other_shared"),
+            F.col("bits").alias("other_bits"),
         )
-        room = "least(n - at, m - other_at)"
+        # No more than what follows in either; than the shared n-grams less those whose
+        # bit the other set lacks.
+        room = (
+            "least(n - at, m - other_at, shared - {0}, other_shared - {1})"
+        ).format(_lacking("bits", "other_bits"), _lacking("other_bits", "bits"))
         pairs = (
             open_lists.join(turn, "gram")
             .filter("component <> other_component")

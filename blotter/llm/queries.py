@@ -16,6 +16,7 @@ from blotter.llm import (
     quality_model,
     quality_rules,
     sharding,
+    sql,
     token_files,
 )
 from blotter.llm.frames import table
@@ -91,7 +92,12 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return found.select(
-        "*",
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
         (~quality_rules.passes(F.col("failures"), "base")).alias("base_failed"),
         quality_rules.passes(F.col("failures"), "v1").alias("kept"),
     )
@@ -131,4 +137,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
