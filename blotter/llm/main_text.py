@@ -81,6 +81,8 @@ _TAG = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>",
     re.S,
 )
+#: What begins a tag that the page ends in.
+_UNENDED = re.compile(r"<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _HIDDEN_STYLE = re.compile(r"(?i)(?:display\s*:\s*none|visibility\s*:\s*hidden)")
 _NOTE = re.compile(
@@ -188,7 +190,9 @@ def _blocks(html: str) -> list[_Block]:
     while at < end:
         found = _TAG.search(html, at, last) if at < last else None
         if found is None:
-            text(html[at:])
+            rest = html[at:]
+            unended = _UNENDED.search(rest)
+            text(rest[: unended.start()] if unended else rest)
             break
         text(html[at : found.start()])
         at = found.end()

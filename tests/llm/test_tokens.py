@@ -1,0 +1,130 @@
+"""Encoding, decoding and token files, against the tokenizers library."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from blotter.llm import bpe, token_files
+from tests.llm.awkward import TEXTS, awkward, empty
+
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+WORD = public_tokenizers.path("word_bpe_49k.json")
+rng = random.Random(8)
+
+ALPHABETS = ["ab", "a", "abcdefgh     ", "a's 't've!!?  \n", "0123456789", "日本語漢字かな", "é à ü ß́  x y",
+             "<|endoftext|> a", "\x1c\x1d ab\x85\xa0", "!@#$%^&*()_+=-  ab1", "aAbBzZ's.,İΣσT̈ "]
+
+
+def texts(n):
+    out = []
+    for _ in range(n):
+        if rng.random() < 0.1:
+            parts = ["<|endoftext|>", "a", "!", "<|endo", " ", "text|>", "<|ENDOFTEXT|>"]
+            out.append("".join(rng.choice(parts) for _ in range(rng.randint(0, 90))))
+        else:
+            letters = rng.choice(ALPHABETS)
+            out.append("".join(rng.choice(letters) for _ in range(rng.randint(0, 500))))
+    return out
+
+
+def library(path, text):
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.fixture(scope="module")
+def plain():
+    found = {path: Tokenizer.from_file(path) for path in (BYTE, WORD)}
+    for tokenizer in found.values():
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+    return lambda path, text: found[path].encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("leaf", [16, 61])
+def test_trees_give_the_librarys_ids(monkeypatch, plain, leaf):
+    monkeypatch.setattr(bpe, "LEAF", leaf)
+    coder, some = bpe.ByteEncoder(BYTE), texts(400)
+    whole = Tokenizer.from_file(BYTE)
+    for text, ids in zip(some, coder.encode_tree(some)):
+        want = plain(BYTE, text)
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
+        assert coder.decode(ids) == whole.decode(want, skip_special_tokens=False)
+
+
+def test_bytes_that_are_no_text_decode_as_in_the_library():
+    coder, whole = bpe.ByteEncoder(BYTE), Tokenizer.from_file(BYTE)
+    for _ in range(200):
+        ids = [rng.randrange(50_257) for _ in range(rng.randint(0, 30))]
+        assert coder.decode(np.array(ids, "<u4").tobytes()) == whole.decode(ids, skip_special_tokens=False)
+
+
+def test_words_give_the_librarys_ids(plain, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 300)  # forgets on the way
+    coder, some = bpe.WordEncoder(WORD), texts(400)
+    for text, ids in zip(some, coder.encode(some)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain(WORD, text), text
+
+
+@pytest.mark.parametrize("spread", [65_536, 700])
+def test_encoded_frames(spark, plain, monkeypatch, spread):
+    monkeypatch.setattr(bpe, "SPREAD", spread)
+    rows = TEXTS + list(enumerate(texts(60), 100)) + [(900, TEXTS[5][1])]
+    docs = awkward(spark, rows)
+    found = bpe.encoded(docs, BYTE, ids_col="tokens", decoded_col="again")
+    assert found.columns == [*docs.columns, "tokens", "again"]
+    got = sorted((str(r["doc_id"]), r["text"] or "", bytes(r["tokens"]), r["again"]) for r in found.collect())
+    want = [(str(k), t or "", np.array(plain(BYTE, t), "<u4").tobytes(), t or "") for k, t in rows]
+    assert got == sorted(want)
+    again = bpe.decoded(found.select("doc_id", "tokens", "again"), BYTE, "tokens", "text")
+    assert again.filter("again <> text").count() == 0
+    assert bpe.encoded(empty(spark), BYTE).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 1023, 1024, 1025, 5000])
+@pytest.mark.parametrize("top", [1, 2, 300, 50_000, 2**32 - 1])
+def test_files_hold_any_ids(n, top):
+    ids = np.array([rng.randrange(top) for _ in range(n)], np.uint32)
+    ids[: n // 100] = 2**32 - 1  # outliers
+    content = token_files.file_bytes(3, 4, [(7, ids[: n // 2]), (None, ids[n // 2 :])])
+    part, number, names, sizes, back = token_files.file_docs(content + b"\n")
+    assert (part, number, names) == (3, 4, [7, None])
+    assert sizes.tolist() == [n // 2, n - n // 2]
+    assert back.tolist() == ids.tolist()
+
+
+def test_packing_saves_space():
+    ids = np.array([rng.randrange(1000, 1200) for _ in range(100_000)], np.uint32)
+    ids[::50] = 40_000
+    assert len(token_files.file_bytes(0, 0, [(1, ids)])) < 1.3 * len(ids)
+
+
+@pytest.mark.parametrize("file_ids", [2_000_000, 500])
+def test_written_and_read(spark, plain, monkeypatch, tmp_path, file_ids):
+    monkeypatch.setattr(token_files, "FILE_IDS", file_ids)
+    rows = TEXTS + list(enumerate(texts(80), 100))
+    folder = str(tmp_path / "files")
+    token_files.write(awkward(spark, rows), folder, WORD)
+    found = token_files.read(spark, folder).orderBy("start").collect()
+    names = [-1 if r["doc_id"] is None else r["doc_id"] for r in found]
+    assert names == sorted(names) and len(names) == len(rows)
+    start, ids = 0, []
+    for row in found:
+        assert row["start"] == start and row["n_tokens"] == len(row["ids"]) // 4
+        start += row["n_tokens"]
+        ids.append((str(row["doc_id"]), bytes(row["ids"])))
+    want = [(str(k), np.array([*plain(WORD, t), 2], "<u4").tobytes()) for k, t in rows]
+    assert sorted(ids) == sorted(want)
+    sums = {(str(r["doc_id"]), r["ids_crc32"]) for r in token_files.read_checksums(spark, folder).collect()}
+    assert sums == {(k, zlib.crc32(v)) for k, v in want}
+
+
+def test_no_documents_no_ids(spark, tmp_path):
+    token_files.write(empty(spark), str(tmp_path / "none"), WORD)
+    assert token_files.read(spark, str(tmp_path / "none")).count() == 0
