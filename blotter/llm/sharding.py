@@ -118,7 +118,7 @@ def propagated(
         filled += quota[k] - used.get(k, 0)
         bounds.append(F.lit(filled).cast("long"))
     numbered = running_total(linked, _GROUP, ["id"], F.lit(1), "place").join(per_group, _GROUP, "left")
-    cell = F.expr("filter(cells, c -> c.upto > place)[0].shard")
+    cell = F.expr("get(filter(cells, c -> c.upto > place), 0).shard")
     numbered = numbered.withColumn("shard", F.when(F.col("cells").isNotNull(), cell))
     placed = numbered.filter("shard IS NOT NULL").select("id", "size", "text_crc32", "group", "shard")
     loose = rows.join(sizes, _GROUP, "left_anti").select("id", "size", "text_crc32", "group")
