@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from blotter.functions.timeparse import attempt, is_typed, wall_time
 from blotter.functions.sqltext import quoted
 from blotter.model import Source
+from blotter.sources.shared import stored
 
 
 def _time(raw: DataFrame, source: Source) -> Column:
@@ -29,14 +29,6 @@ def _bound(counts: DataFrame, n: int) -> tuple[object, int] | None:
     return (found["step"], found["before"]) if found else None
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """Rows kept in the shared folder that spark.checkpoint.dir names."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="blotter-checkpoint-"))
-    return df.checkpoint()
-
-
 def _first_of_equal_time(rows: DataFrame, k: int, order: list[Column]) -> DataFrame:
     """The k first rows in `order`, over any number of tasks.
 
@@ -48,7 +40,7 @@ def _first_of_equal_time(rows: DataFrame, k: int, order: list[Column]) -> DataFr
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     # The number grows along the sorted ranges: range in its high 31 bits.
     numbered = counted.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = _stored(numbered.withColumn("_number", F.monotonically_increasing_id()))
+    numbered = stored(numbered.withColumn("_number", F.monotonically_increasing_id()))
     part = F.shiftright("_number", 33)
     earlier = (Window.unboundedPreceding, -1)
     sizes = numbered.groupBy(part.alias("_part")).agg(F.sum("_copies").alias("_rows"))
