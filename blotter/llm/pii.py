@@ -31,7 +31,8 @@ _MOD_97 = """aggregate(
 class Proposal:
     """A pattern for spans of a kind.
 
-    `valid` must hold of the match `found`. `score` is what a valid match is worth,
+    `valid` must hold of the match `found`. A text without a match of `needs`, which is
+    quick to tell, cannot have a valid one. `score` is what a valid match is worth,
     before words of `context` beside it add to it. Matches follow each other from the
     left without overlap; one that is not valid is dropped, and nothing inside it tried.
     """
@@ -42,6 +43,7 @@ class Proposal:
     score: float
     context: str
     base: bool = False
+    needs: str = "[0-9]"
 
 
 #: Kinds in the order that decides between spans of one start.
@@ -58,6 +60,7 @@ PROPOSALS = (
         0.8,
         r"(?i)\b(?:e-?mail|mail|contact|write|from|to|cc)\b",
         base=True,
+        needs="@",
     ),
     Proposal(
         "ip",
@@ -126,6 +129,7 @@ PROPOSALS = (
         "true",
         0.9,
         r"(?i)\b(?:key|aws|secret)\b",
+        needs="AKIA",
     ),
     Proposal(
         "secret",
@@ -143,9 +147,15 @@ CONTEXT_CHARS = 40
 LEAST_SCORE = 0.5
 
 
+#: What proposals need, and the columns that tell whether a text has it.
+_NEEDS = {needs: f"has_{k}" for k, needs in enumerate(dict.fromkeys(p.needs for p in PROPOSALS))}
+
+
 def _proposed(text: Column, number: int, proposal: Proposal) -> Column:
-    pattern = F.lit(proposal.pattern)
-    return F.struct(F.lit(number).alias("number"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"))
+    found = F.regexp_extract_all(text, F.lit(proposal.pattern), F.lit(0))
+    none = F.array().cast("array<string>")
+    can = F.col(_NEEDS[proposal.needs])
+    return F.struct(F.lit(number).alias("number"), F.when(can, found).otherwise(none).alias("found"))
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,7 +166,9 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     texts count as empty. Other columns are not read.
     """
     own, text = F.col(f"`{id_col}`"), text_of(text_col)
-    rows = docs.select(F.xxhash64(own, text).alias("row_key"), text.alias("text"))
+    has = [text.rlike(needs).alias(name) for needs, name in _NEEDS.items()]
+    rows = docs.select(F.xxhash64(own, text).alias("row_key"), text.alias("text"), *has)
+    rows = rows.filter(" OR ".join(_NEEDS.values()))
     proposed = [_proposed(F.col("text"), k, p) for k, p in enumerate(PROPOSALS)]
     rows = rows.select("row_key", "text", F.array(*proposed).alias("all"))
     rows = rows.filter("exists(all, one -> size(one.found) > 0)")
