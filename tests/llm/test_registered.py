@@ -53,8 +53,9 @@ def stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     out = [docs.collect()]
     for _, stage in corpus_pipeline.STAGES:
-        docs = spark.createDataFrame(stage(spark, docs, SMALL).collect(), stage(spark, docs, SMALL).schema)
-        out.append(docs.collect())
+        kept = stage(spark, docs, SMALL)
+        out.append(kept.collect())
+        docs = spark.createDataFrame(out[-1], kept.schema)
     return out
 
 
