@@ -17,13 +17,14 @@ import json
 import re
 import string
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from blotter.llm.frames import text_of, unused
@@ -285,62 +286,97 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _by_parts(column: pa.Array, work: Callable[[list], list], kind: pa.DataType) -> pa.Array:
-    """`work` over a few rows at a time, so that few are Python objects at once."""
-    starts = range(0, len(column), 256)
-    parts = [pa.array(work(column.slice(k, 256).to_pylist()), kind) for k in starts]
-    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that few are Python objects at once."""
+    for batch in batches:
+        for start in range(0, len(batch), 256):
+            yield batch.slice(start, 256)
+        pa.default_memory_pool().release_unused()
 
 
-def encode(text: Column, path: str) -> Column:
-    """The ids of a text column as binary; tree concatenation within the task."""
+def _with(batch: pa.RecordBatch, drop: str, **columns: pa.Array) -> pa.RecordBatch:
+    """The batch without one column and with others."""
+    kept = [name for name in batch.schema.names if name != drop]
+    arrays = [*[batch[name] for name in kept], *columns.values()]
+    return pa.RecordBatch.from_arrays(arrays, [*kept, *columns])
 
-    @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
-        return _by_parts(texts, byte_encoder(path).encode_tree, pa.binary())
 
-    return ids.asNondeterministic()(text)
+def _coded(
+    rows: DataFrame, text: str, path: str, ids_col: str, decoded_col: str | None
+) -> DataFrame:
+    """`rows` with the ids of column `text`, and the text of the ids, in its place."""
+    fields = [field for field in rows.schema.fields if field.name != text]
+    fields.append(T.StructField(ids_col, T.BinaryType()))
+    if decoded_col:
+        fields.append(T.StructField(decoded_col, T.StringType()))
 
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = byte_encoder(path)
+        for batch in _slices(batches):
+            ids = coder.encode_tree(batch[text].to_pylist())
+            made = {ids_col: pa.array(ids, pa.binary())}
+            if decoded_col:
+                made[decoded_col] = pa.array(map(coder.decode, ids), pa.string())
+            yield _with(batch, text, **made)
+
+    return rows.mapInArrow(code, T.StructType(fields))
 
-def decode(ids: Column, path: str) -> Column:
-    """The text of a column of ids; bytes that are no UTF-8 become U+FFFD."""
 
-    @F.arrow_udf("string")
-    def text(column: pa.Array) -> pa.Array:
+def decoded(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """`rows` with the text of a column of ids; bytes that are no UTF-8 become U+FFFD.
+
+    Null has no ids and gives an empty text. A column of the name `text_col` is replaced.
+    """
+    rows = rows.drop(text_col)
+    fields = [*rows.schema.fields, T.StructField(text_col, T.StringType())]
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_encoder(path)
-        return _by_parts(column, lambda some: [coder.decode(one) for one in some], pa.string())
+        for batch in _slices(batches):
+            texts = [coder.decode(ids or b"") for ids in batch[ids_col].to_pylist()]
+            yield _with(batch, "", **{text_col: pa.array(texts, pa.string())})
 
-    return text.asNondeterministic()(ids)
+    return rows.mapInArrow(decode, T.StructType(fields))
 
 
-def encoded(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encoded(
+    docs: DataFrame,
+    path: str,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    decoded_col: str | None = None,
+) -> DataFrame:
     """`docs` with the column `ids_col`: the whole text's ids, little-endian 32 bits each.
 
-    A null text counts as empty and has no ids. Repeated rows stay. Texts of more
-    than SPREAD characters are cut into segments, each distinct text once; tasks
-    encode the segments, and one task per text concatenates their ids. A column of
-    the name `ids_col` is replaced.
+    With `decoded_col`, also the text that the ids decode to. A null text counts as
+    empty and has no ids. Repeated rows stay. Texts of more than SPREAD characters are
+    cut into segments, each distinct text once; tasks encode the segments, and one task
+    per text concatenates their ids. Columns of the new ones' names are replaced.
     """
-    docs = docs.drop(ids_col)
+    made = [ids_col, *([decoded_col] if decoded_col else [])]
     own, key = unused(docs, "_text"), unused(docs, "_key")
-    names = [F.col(f"`{name}`") for name in docs.columns]
-    texts = docs.withColumn(own, text_of(text_col))
+    texts = docs.withColumn(own, text_of(text_col)).drop(*made)
     is_long = F.length(own) > SPREAD
-    short = texts.filter(~is_long).select(*names, encode(F.col(own), path).alias(ids_col))
+    short = _coded(texts.filter(~is_long), own, path, ids_col, decoded_col)
 
     long = texts.filter(is_long).withColumn(key, F.sha2(own, 256))
     once = long.groupBy(F.col(key).alias("key")).agg(F.first(own).alias("text"))
     cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{SPREAD}}}"), F.lit(0))
     segments = once.select("key", F.posexplode(cut).alias("place", "part"))
-    segments = segments.repartition("key", "place")
-    segments = segments.select("key", "place", "part", encode(F.col("part"), path).alias("ids"))
+    segments = segments.withColumn("text", F.col("part")).repartition("key", "place")
+    segments = _coded(segments, "text", path, "ids", None)
 
     def concatenate(group: pa.Table) -> pa.Table:
-        rows = group.sort_by("place")
-        ids = byte_encoder(path).concatenated(
-            rows["part"].to_pylist(), rows["ids"].to_pylist()
-        )
-        return pa.table({key: rows["key"].slice(0, 1), ids_col: pa.array([ids], pa.binary())})
-
-    whole = segments.groupBy("key").applyInArrow(concatenate, f"`{key}` string, `{ids_col}` binary")
-    return short.unionByName(long.join(whole, key).select(*names, F.col(f"`{ids_col}`")))
+        coder, rows = byte_encoder(path), group.sort_by("place")
+        ids = coder.concatenated(rows["part"].to_pylist(), rows["ids"].to_pylist())
+        columns = {key: rows["key"].slice(0, 1), ids_col: pa.array([ids], pa.binary())}
+        if decoded_col:
+            columns[decoded_col] = pa.array([coder.decode(ids)], pa.string())
+        return pa.table(columns)
+
+    kind = f"`{key}` string, `{ids_col}` binary"
+    if decoded_col:
+        kind += f", `{decoded_col}` string"
+    whole = segments.groupBy("key").applyInArrow(concatenate, kind)
+    names = [F.col(f"`{name}`") for name in short.columns]
+    return short.unionByName(long.drop(own).join(whole, key).select(*names))

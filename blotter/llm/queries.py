@@ -52,9 +52,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
-    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), BYTE_BPE).alias("decoded"))
-    return both.select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encoded(docs, BYTE_BPE, decoded_col="decoded").select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -44,15 +44,14 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     `exact` says whether decoding the ids gives the text back.
     """
-    encoded = bpe.encoded(docs, TOKENIZER)
-    decoded = bpe.decode(F.col("ids"), TOKENIZER)
+    encoded = bpe.encoded(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, decoded_col="decoded")
     return encoded.select(
         "doc_id",
         "lang",
         "source",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         "ids",
-        (decoded == F.coalesce("text", F.lit(""))).alias("exact"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
     )
 
 
