@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from blotter.sources.shared import shared_folder, stored
+
+__all__ = ["running_total", "shared_folder", "stored", "table", "text_of", "unused"]
+
 
 def text_of(column: str = "text") -> Column:
     """The column as text, empty where it is null."""
@@ -17,30 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it in spark.checkpoint.dir.
-
-    A temporary folder is set only where the session names none, as in tests.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = context._jsc.sc().getCheckpointDir()
-    if not current.isDefined():
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="blotter-checkpoint-"))
-        current = context._jsc.sc().getCheckpointDir()
-    return named or current.get()
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """The rows of `df`, kept in the cluster's checkpoint folder.
-
-    Later steps read the stored rows: nothing is computed twice, and a lost
-    executor costs no more than the tasks it was running.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def running_total(
     df: DataFrame,
     keys: list[str],
