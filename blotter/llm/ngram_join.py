@@ -43,9 +43,13 @@ FLUSH = 1_000_000
 #: Texts that a task works on at once.
 ROWS = 1000
 #: Length of a set's bitmap, by which most pairs that cannot link are told apart.
-BITS = 1024
+BITS = 512
 #: Sets of a list that are compared with all its others in one round.
-PER_ROUND = 64
+PER_ROUND = 1024
+#: Parts that the sets of a list are dealt into for that.
+PARTS = 16
+#: Buckets of the index at least; as many as shuffle partitions if those are more.
+BUCKETS = 48
 
 
 def _sets(texts: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -336,13 +340,12 @@ def _links(percent: int) -> str:
 
 def _within(overlap: str, percent: int) -> str:
     """Whether sets of n and m n-grams can link if they share at most so many."""
-    return f"100 * ({overlap}) >= {percent} * (n + m - ({overlap}))"
+    return f"{100 + percent} * ({overlap}) >= {percent} * (n + m)"
 
 
-def _lacking(bits: str, others: str) -> str:
+def _lacking(bits: list[str], others: list[str]) -> str:
     """SQL for the number of bits of one bitmap that are not in another."""
-    each = f"zip_with({bits}, {others}, (a, b) -> bit_count(a & ~b))"
-    return f"aggregate({each}, 0, (sum, one) -> sum + one)"
+    return " + ".join(f"bit_count({a} & ~{b})" for a, b in zip(bits, others))
 
 
 def _linked(core: DataFrame, percent: int, per_round: int) -> DataFrame:
@@ -365,6 +368,9 @@ def _linked(core: DataFrame, percent: int, per_round: int) -> DataFrame:
     best = best.select(F.col("a").alias("key"), F.col("t.b").alias("head"), F.col("t.both").alias("with_head"))
     known = answers.select(F.col("a").alias("other"), F.col("b").alias("head"), F.col("both").alias("head_other"))
 
+    bits, other_bits = ([f"{name}{k}" for k in range(BITS // 64)] for name in ("bits", "other_bits"))
+    marked = core.select("key", "shared", *[F.col("bits")[k].alias(b) for k, b in enumerate(bits)])
+
     while True:
         group = components(links)
         mine = entries.join(group.withColumnRenamed("node", "key"), "key", "left")
@@ -373,7 +379,7 @@ def _linked(core: DataFrame, percent: int, per_round: int) -> DataFrame:
         most = sizes.groupBy("gram").agg(
             F.max(F.struct("count", "component")).alias("t"), F.count("*").alias("groups")
         ).filter("groups > 1").select("gram", F.col("t.component").alias("largest"))
-        open_lists = stored(mine.join(most, "gram").join(core.select("key", "shared", "bits"), "key"))
+        open_lists = stored(mine.join(most, "gram").join(marked, "key"))
         if open_lists.isEmpty():
             return links
         # Outside a list's largest group: some sets a round, each against all others.
@@ -387,20 +393,23 @@ def _linked(core: DataFrame, percent: int, per_round: int) -> DataFrame:
             F.col("at").alias("other_at"),
             F.col("component").alias("other_component"),
             F.col("shared").alias("other_shared"),
-            F.col("bits").alias("other_bits"),
+            *[F.col(a).alias(b) for a, b in zip(bits, other_bits)],
         )
-        # No more than what follows in either; than the shared n-grams less those whose
-        # bit the other set lacks.
-        room = (
-            "least(n - at, m - other_at, shared - {0}, other_shared - {1})"
-        ).format(_lacking("bits", "other_bits"), _lacking("other_bits", "bits"))
-        pairs = (
-            open_lists.join(turn, "gram")
-            .filter("component <> other_component")
-            .filter(_within(room, percent))
-            .select("key", "n", "other", "m")
-            .distinct()
+        # They share no more than what follows in either; than the shared n-grams less
+        # those whose bit the other set lacks.
+        bounds = (
+            "n - at",
+            "m - other_at",
+            f"shared - ({_lacking(bits, other_bits)})",
+            f"other_shared - ({_lacking(other_bits, bits)})",
         )
+        part = F.pmod("key", F.lit(PARTS)).cast("int")
+        dealt = turn.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        pairs = open_lists.withColumn("part", part).join(dealt, ["gram", "part"])
+        pairs = pairs.filter("component <> other_component")
+        for bound in bounds:
+            pairs = pairs.filter(_within(bound, percent))
+        pairs = pairs.select("key", "n", "other", "m").distinct()
         # |x and y| <= |head and y| + |x without head|
         derived = pairs.join(best, "key", "left").join(known, ["other", "head"], "left")
         bound = "least(n, m, coalesce(head_other + n - with_head, n))"
@@ -440,7 +449,8 @@ def groups(
     rows = docs.select(own.alias("id"), F.xxhash64(own, text).alias("row_key"), set_of(text, width).alias("s"))
     rows = stored(rows.select("id", "row_key", "s.n", "s.key"))
 
-    buckets = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 65_536)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(max(partitions, BUCKETS), 65_536)
     index = _index(docs.select(text.alias("text")), width, buckets)
     core = stored(_core(_shared(index, buckets), percent))
     found = components(_linked(core, percent, per_round))
