@@ -140,3 +140,18 @@ def test_shards(spark, shards):
 def test_fewer_rows_than_shards(spark):
     found = sharding.propagated(awkward(spark, TEXTS[:4])).collect()
     assert len(found) == 4 and len({r["shard"] for r in found}) == 4
+
+
+@pytest.mark.parametrize(("copies", "percent"), [(2, 60), (5, 30), (5, 60), (7, 45)])
+def test_groups_that_fit_stay_whole(spark, copies, percent):
+    n = 8000
+    linked = n * percent // 100 // copies * copies
+    text = f"CASE WHEN id < {linked} THEN concat('copy ', id DIV {copies}) ELSE concat('own ', id) END"
+    docs = spark.range(n).selectExpr("id AS doc_id", f"{text} AS text")
+    found = sharding.propagated(docs).collect()
+    assert set(Counter(r["shard"] for r in found).values()) == {n // sharding.SHARDS}
+    homes = defaultdict(set)
+    for r in found:
+        if r["doc_id"] < linked:
+            homes[r["doc_id"] // copies].add(r["shard"])
+    assert sum(len(shards) > 1 for shards in homes.values()) == 0
