@@ -68,11 +68,20 @@ _BOILER_WORDS = (
 _BOILER_NAME = re.compile(
     rf"(?i)^(?:{_BOILER_WORDS})(?:$|[-_0-9])|[-_](?:{_BOILER_WORDS})$"
 )
+# Names that say what a layout has or lacks.
+_LAYOUT_NAME = re.compile(r"(?i)^(?:has|no|with)[-_]")
+# Boilerplate that is made of others' articles.
+_OTHERS_NAME = re.compile(
+    r"(?i)(?:^|[-_])(?:ads?|advert\w*|comments?|commentlist|discussion|disqus|promos?|promotion|recommended|related"
+    r"|repl(?:y|ies)|respond|sponsor(?:ed)?)(?:$|[-_0-9])"
+)
 _HEADER_NAME = re.compile(r"(?i)^(?:page-?|main-?)?header$")
 _CONTENT_NAME = re.compile(
     r"(?i)^(?:article|post|entry|story|content|main|body|text)(?:$|[-_]?(?:body|content|text|article|main|inner|wrapper|wrap|container|area|section)\b)"
     r"|^(?:main|page|article|post|entry|story|body)[-_]?(?:content|body|text|article)$"
 )
+# Content names that are not also usual within a widget.
+_OWN_NAME = re.compile(r"(?i)^(?:main|page|article|post|entry|story|body)[-_]?(?:content|body|text|article)$")
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
@@ -116,17 +125,21 @@ class _Block:
 
 
 def _role(name: str, rest: str, outer: str) -> str | None:
-    """What an element makes of its content: boiler, weak, content, outer's; None if hidden.
+    """What an element makes of its content: boiler, named, weak, content, outer's; None if hidden.
 
-    Boilerplate stays what it is whatever it contains.
+    Boilerplate stays what it is whatever it contains. What only a class or id names
+    so (named) gives way to main, article, and names of a page's own content.
     """
     marks: list[str] = []
+    ids: list[str] = []
     role = ""
     if rest:
         for key, a, b, c in _ATTRIBUTE.findall(rest):
             key, value = key.lower(), unescape(a or b or c)
             if key in ("class", "id"):
                 marks += value.split()
+                if key == "id":
+                    ids += value.split()
             elif key == "role":
                 role = value.strip().lower()
             elif key == "itemprop" and value.lower() == "articlebody":
@@ -140,10 +153,14 @@ def _role(name: str, rest: str, outer: str) -> str | None:
     if name in ("html", "body"):
         return outer
     content = any(_CONTENT_NAME.search(mark) for mark in marks)
-    if name not in _CONTENT and not content and any(_BOILER_NAME.search(mark) for mark in marks):
-        return "boiler"
+    boiler = [mark for mark in marks if _BOILER_NAME.search(mark) and not _LAYOUT_NAME.search(mark)]
+    if name not in _CONTENT and not content and boiler:
+        return "boiler" if any(map(_OTHERS_NAME.search, boiler)) else "named"
     if name == "article" and any(re.match(r"(?i)comment|reply", mark) for mark in marks):
         return "boiler"
+    if outer == "named" and name not in _CONTENT and role not in ("main", "article"):
+        own = any(map(_CONTENT_NAME.search, ids)) or any(map(_OWN_NAME.search, marks))
+        return "content" if own else "named"
     if name in _CONTENT or role in ("main", "article") or content:
         return "content"
     if outer != "content" and (name in _WEAK or any(_HEADER_NAME.search(mark) for mark in marks)):
@@ -248,7 +265,7 @@ def _evidence(block: _Block, text: str) -> float:
     score += LINKED * min(1.0, block.linked / max(1, len(text)))
     if text.endswith(_SENTENCE_ENDS):
         score += ENDS_SENTENCE
-    score += {"content": IN_CONTENT, "boiler": IN_BOILER, "weak": IN_WEAK}.get(block.role, 0.0)
+    score += {"content": IN_CONTENT, "boiler": IN_BOILER, "named": IN_BOILER, "weak": IN_WEAK}.get(block.role, 0.0)
     if words <= 30 and block.role != "content" and _NOTE.search(text):
         score += NOTE
     return float(score)

@@ -48,6 +48,30 @@ def test_a_page():
     ]
 
 
+ARTICLE = "<h1>Title here</h1><p>A first paragraph, with some words in it.</p>"
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "has-sidebar", "with_menu", "nav-open", "sidebar-right"])
+@pytest.mark.parametrize("inner", ["article", "main", 'div id="content"', 'div class="entry-content"'])
+def test_a_wrapper_named_for_its_layout(name, inner):
+    page = f'<body><div id="wrapper" class="{name}"><{inner}>{ARTICLE}</{inner.split()[0]}></div></body>'
+    assert main_text.main_text(page) == "Title here\n\nA first paragraph, with some words in it."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="related-posts"><article>{ARTICLE}</article></div>',
+        f'<div id="comments"><article>{ARTICLE}</article></div>',
+        f'<div class="sidebar"><article class="comment">{ARTICLE}</article></div>',
+        f'<div class="widget"><div class="content">{ARTICLE}</div></div>',
+        f'<nav class="no-sidebar"><article>{ARTICLE}</article></nav>',
+    ],
+)
+def test_boilerplate_with_articles_stays(page):
+    assert main_text.main_text(f"<body>{page}</body>") == ""
+
+
 def test_broken_markup_is_read():
     parts = ["<p>", "</p>", "<div>", "</div>", '<a href="x">', "</a>", "<!--", "-->", "<script>", "</script>", "x y. ",
              '"', "'", "<", ">", "<li>", "</ul>", "<td>", "&amp;", "<br/>", "<article>", "</article>", "<nav>"]
