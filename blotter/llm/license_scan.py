@@ -3,8 +3,8 @@
 Every run of GRAM words of a text is joined to the places where a template has the
 same words. A hit votes for its diagonal, the word at which the template would begin.
 Diagonals of one template that lie close together (a word more or less in between)
-are merged, and a merged run counts if it has most of the template's runs of words
-and is not much longer than it. All of it is column expressions.
+are merged, and a merged run counts if a stretch of it that is not much longer than
+the template has most of its runs of words. All of it is column expressions.
 """
 
 from __future__ import annotations
@@ -75,6 +75,10 @@ NOTICES = (
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+#: Words of the longest notice.
+_LONGEST = max(len([word for word in re.split(_BREAK, text.lower()) if word]) for _, text in NOTICES)
+
+
 def _templates(spark: SparkSession) -> DataFrame:
     """Rows of template, label, base, length and place, and the words from that place on.
 
@@ -133,16 +137,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.max("diagonal").cast("long").alias("last_word"),
         F.sort_array(F.collect_set("label")).alias("base_labels"),
     )
-    merged = hits.join(runs, ["row_key", "template", "diagonal"]).groupBy(
+    # Of a notice, the places seen from each hit on in twice its length: at most so many hits.
+    ahead = (
+        Window.partitionBy("row_key", "template", "run")
+        .orderBy("at")
+        .rangeBetween(0, 2 * _LONGEST - GRAM)
+    )
+    merged = hits.join(runs, ["row_key", "template", "diagonal"])
+    merged = merged.withColumn("near", F.collect_list(F.struct("at", "place")).over(ahead))
+    stretch = F.expr(
+        f"size(array_distinct(transform(filter(near, h -> h.at <= at + 2 * length - {GRAM}), h -> h.place)))"
+    )
+    merged = merged.withColumn("stretch", stretch).groupBy(
         "row_key", "template", "label", "base", "length", "run"
     ).agg(
-        F.count_distinct("place").alias("seen"),
-        (F.max("at") + GRAM - F.min("at")).alias("span"),
+        F.when(F.col("base"), F.count_distinct("place")).otherwise(F.max("stretch")).alias("seen"),
     )
     share = F.col("seen") / (F.col("length") - (GRAM - 1))
     merged = merged.withColumn("share", share).filter(
-        (F.col("share") >= F.when(F.col("base") | (F.col("length") < SHORT), 1.0).otherwise(LEAST_SHARE))
-        & (F.col("base") | (F.col("span") <= 2 * F.col("length")))
+        F.col("share") >= F.when(F.col("base") | (F.col("length") < SHORT), 1.0).otherwise(LEAST_SHARE)
     )
     found = merged.groupBy("row_key").agg(
         F.collect_set(F.when(~F.col("base"), F.col("label"))).alias("noticed"),

@@ -150,3 +150,12 @@ def test_patterns_are_linear(spark):
     texts = [(1, "a" * 400_000), (2, "1" * 400_000), (3, "1." * 200_000), (4, "a@" * 200_000)]
     assert pii.by_document(awkward(spark, texts)).count() == 4
     assert re.fullmatch(pii.PROPOSALS[2].pattern.replace("++", "+"), "4111-1111")
+
+
+def test_notices_back_to_back(spark):
+    gpl = dict(license_scan.NOTICES)["gpl-2"]
+    rows = [(n, "All rights reserved. " * n) for n in (1, 2, 3, 50)]
+    rows += [(60, "General Public License, " * 20 + gpl), (61, "General Public License, " * 20)]
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(awkward(spark, rows)).collect()}
+    want = {n: (["all-rights-reserved"], 1.0) for n in (1, 2, 3, 50)}
+    assert found == want | {60: (["gpl-2"], 1.0), 61: ([], 0.0)}
