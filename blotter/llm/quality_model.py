@@ -19,13 +19,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.frames import text_of
+from blotter.llm.frames import stored, text_of
 
 #: Labelled rows of each class that a model is fitted on, at most, by order of a hash
-#: of the id; and how much of each text goes into a dictionary.
+#: of the id; and the bytes of a dictionary, shared evenly by its texts.
 SAMPLE = 2000
-SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 512 * 1024
+#: Bytes of a piece, at least; a text's share is made of pieces from all over it.
+PIECE = 96
 LEVEL = 3
 #: Examples kept from the dictionaries for setting the score: one in so many.
 CALIBRATION = 3
@@ -92,10 +93,31 @@ def _features(texts: list[str], dictionaries: tuple[tuple[bytes, bytes], ...]) -
     return out
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    """As much of the examples as the dictionary holds, the same share of each."""
-    share = max(64, DICTIONARY_BYTES // max(1, len(texts)))
-    return b"\n".join(text[:share] for text in texts)[:DICTIONARY_BYTES]
+def _pieces(data: bytes, share: int) -> bytes:
+    """The text if it is no longer than its share, else pieces at even distances, first to last."""
+    if len(data) <= share:
+        return data
+    count = max(1, (share + 1) // (PIECE + 1))
+    size = (share + 1) // count - 1
+    last = len(data) - size
+    return b"\n".join(data[at : at + size] for at in (last * k // max(1, count - 1) for k in range(count)))
+
+
+def _pieces_of(text: Column, share: int) -> Column:
+    @F.arrow_udf("binary")
+    def cut(texts: pa.Array) -> pa.Array:
+        return pa.array((_pieces(text.as_py().encode(), share) for text in texts), pa.binary())
+
+    return cut(text)
+
+
+def _features_of(text: Column, dictionaries: tuple[tuple[bytes, bytes], ...]) -> Column:
+    @F.arrow_udf("array<double>")
+    def features(texts: pa.Array) -> pa.Array:
+        found = [_features([text.as_py()], dictionaries)[0].tolist() for text in texts]
+        return pa.array(found, pa.list_(pa.float64()))
+
+    return features(text)
 
 
 def _fitted(x: np.ndarray, y: np.ndarray) -> tuple:
@@ -135,28 +157,35 @@ def fit(
         own.filter((F.col("label") == k) & ~held_out("id")).orderBy(order, "id").limit(2 * sample)
         for k in (0, 1)
     ]
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     found = texts.filter("text IS NOT NULL").join(picked[0].unionByName(picked[1]), "id")
-    short = found.select("id", "label", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    once = short.groupBy("id", "label").agg(F.first("text").alias("text"))
+    once = stored(found.groupBy("id", "label").agg(F.first("text").alias("text")))
+    # Only ids are ranked, and at most 2 * sample of them kept.
     rank = F.row_number().over(Window.partitionBy("label").orderBy(order, "id"))
-    rows = once.withColumn("rank", rank).filter(F.col("rank") <= sample)
-    examples = rows.orderBy("rank", "label").collect()  # at most 2 * sample
-    return _model([(row["text"], row["label"]) for row in examples])
+    ranked = once.select("id", "label").withColumn("rank", rank).filter(F.col("rank") <= sample)
+    place = F.row_number().over(Window.orderBy("rank", "label")) - 1
+    places = ranked.select("id", "label", place.alias("place"))
+    return _model(stored(once.join(F.broadcast(places), ["id", "label"]).select("place", "label", "text")))
 
 
-def _model(examples: list[tuple[str, int]]) -> Model:
-    kept = [pair for k, pair in enumerate(examples) if k % CALIBRATION]
-    views = [
-        [[_views(text)[view] for text, label in kept if label == wanted] for wanted in (1, 0)]
-        for view in range(2)
-    ]
-    if not all(views[0]):
+def _model(examples: DataFrame) -> Model:
+    """The model of rows of place, label and whole text."""
+    kept = examples.filter(F.col("place") % CALIBRATION != 0)
+    counts = {row["label"]: row["count"] for row in kept.groupBy("label").count().collect()}
+    if len(counts) < 2:
         return Model((), (), (), ())
-    dictionaries = tuple((_dictionary(good), _dictionary(bad)) for good, bad in views)
-    rest = examples[::CALIBRATION]
-    x = _features([text for text, _ in rest], dictionaries)
-    return Model(dictionaries, *_fitted(x, np.array([label for _, label in rest], float)))
+    pair = []
+    for wanted in (1, 0):
+        share = max(64, DICTIONARY_BYTES // counts[wanted] - 1)
+        cut = kept.filter(F.col("label") == wanted).select("place", _pieces_of(F.col("text"), share).alias("pieces"))
+        # At most a dictionary's bytes.
+        pair.append(b"\n".join(bytes(row["pieces"]) for row in cut.orderBy("place").collect())[:DICTIONARY_BYTES])
+    dictionaries = (tuple(pair), tuple(one.translate(_SHAPE) for one in pair))
+    rest = examples.filter(F.col("place") % CALIBRATION == 0)
+    rest = rest.select("place", "label", _features_of(F.col("text"), dictionaries).alias("x"))
+    rows = rest.orderBy("place").collect()  # a few numbers of each
+    x = np.array([row["x"] for row in rows])
+    return Model(dictionaries, *_fitted(x, np.array([row["label"] for row in rows], float)))
 
 
 def score(text: Column, model: Model) -> Column:

@@ -126,3 +126,22 @@ def test_awkward_texts_are_scored(spark):
         assert len(found) == len(TEXTS)
         assert all(0 <= r["score"] <= 1 for r in found)
         assert quality_model.scored(empty(spark), model).count() == 0
+
+
+def test_dictionaries_see_whole_texts():
+    data = bytes(range(256)) * 100
+    found = quality_model._pieces(data, 392)
+    assert len(found) <= 392 and found.startswith(data[:90]) and found.endswith(data[-90:])
+    assert quality_model._pieces(data[:392], 392) == data[:392]
+
+
+def test_signs_late_in_a_text_are_learned(spark):
+    same = "".join(rng.choice("abcdefgh ") for _ in range(30_000))
+    late = {k: " ".join(f"{'good' if k else 'bad'}{n % 7}" for n in range(4000)) for k in (0, 1)}
+    rows = [(n, same + late[n % 2]) for n in range(600)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(600)], "doc_id long, quality int")
+    docs = awkward(spark, rows)
+    model = quality_model.fit(docs, labels)
+    assert b"good3 good4" in model.dictionaries[0][0] and b"bad3 bad4" in model.dictionaries[0][1]
+    held = [r for r in quality_model.scored(docs, model).collect() if r["held_out"]]
+    assert held and all((r["score"] > 0.5) == (r["doc_id"] % 2 == 1) for r in held)
