@@ -9,8 +9,8 @@
    first few. A set whose first ones are all its own links with nothing. The others
    enter the index lists of their first n-grams, with their positions.
 4. Set relations: the sets of a list are first compared with the list's leader only.
-   Sets in one group by then need no comparison. Of the rest, entries are skipped by
-   position, size and bitmap, and answers are derived from the leader's: what a set shares
+   Sets in one group by then need no comparison. Of the rest, joined pairs are dropped
+   by position, size and bitmap, each on its own, and answers are derived from the leader's: what a set shares
    with the leader, and what it lacks of it, bounds what it shares with another set.
    Only pairs that all bounds leave are compared, exactly.
 """
