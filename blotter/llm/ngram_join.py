@@ -48,8 +48,10 @@ BITS = 512
 PER_ROUND = 1024
 #: Parts that the sets of a list are dealt into for that.
 PARTS = 16
-#: Buckets of the index at least; as many as shuffle partitions if those are more.
+#: Buckets of the index at least, and the n-grams of a bucket on average at most: one task
+#: holds a bucket's n-grams, so more n-grams make more buckets and not larger ones.
 BUCKETS = 48
+PER_BUCKET = 2_000_000
 
 
 def _sets(texts: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -128,6 +130,11 @@ def _runs(counts: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(shift, sizes)
 
 
+def _buckets(grams: int) -> int:
+    """Buckets for so many n-grams; their number is kept in 16 bits."""
+    return min(max(-(-grams // PER_BUCKET), BUCKETS), 65_536)
+
+
 def _index(texts: DataFrame, width: int, buckets: int) -> DataFrame:
     """Blocks of the sets by bucket of the n-gram: keys and sizes of sets, and their n-grams.
 
@@ -449,8 +456,8 @@ def groups(
     rows = docs.select(own.alias("id"), F.xxhash64(own, text).alias("row_key"), set_of(text, width).alias("s"))
     rows = stored(rows.select("id", "row_key", "s.n", "s.key"))
 
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(max(partitions, BUCKETS), 65_536)
+    # With copies: each task writes a set it has.
+    buckets = _buckets(rows.agg(F.sum("n")).first()[0] or 0)
     index = _index(docs.select(text.alias("text")), width, buckets)
     core = stored(_core(_shared(index, buckets), percent))
     found = components(_linked(core, percent, per_round))

@@ -155,3 +155,18 @@ def test_groups_that_fit_stay_whole(spark, copies, percent):
         if r["doc_id"] < linked:
             homes[r["doc_id"] // copies].add(r["shard"])
     assert sum(len(shards) > 1 for shards in homes.values()) == 0
+
+
+def test_buckets_follow_the_ngrams(spark, monkeypatch):
+    assert ngram_join._buckets(0) == ngram_join.BUCKETS
+    many = 5_000_000_000
+    assert many / ngram_join._buckets(many) <= ngram_join.PER_BUCKET
+    used = []
+    made = ngram_join._index
+    monkeypatch.setattr(ngram_join, "_index", lambda *args: used.append(args[-1]) or made(*args))
+    rows = FAMILIES[::3] + TEXTS
+    for per_bucket in (10, 10**9):
+        monkeypatch.setattr(ngram_join, "PER_BUCKET", per_bucket)
+        found = ngram_join.groups(awkward(spark, rows)).collect()
+        assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == groups_of(rows)
+    assert used[0] > used[1] == ngram_join.BUCKETS
