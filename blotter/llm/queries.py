@@ -15,6 +15,7 @@ from blotter.llm import (
     pii,
     quality_model,
     quality_rules,
+    secret_scan,
     sharding,
     sql,
     token_files,
@@ -120,6 +121,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_checksums(spark, folder)
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.by_document(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.expr(f"size(filter(spans, s -> s.base AND s.kind = '{one.kind}'))").cast("long").alias(f"n_{one.kind}")
+        for one in secret_scan.PATTERNS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_main_text": op1_main_text,
@@ -132,6 +148,7 @@ def queries() -> dict:
         "op8_sharding": op8_sharding,
         "op9_license_scan": op9_license_scan,
         "op10_token_files": op10_token_files,
+        "op12_secret_scan": op12_secret_scan,
     }
 
 

@@ -93,5 +93,66 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+def _secrets() -> str:
+    """Base matches by plain patterns; entropies counted anew for every window."""
+    assign = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    assign = assign.replace("'", "''")
+    kinds = [("assign", assign), ("access", "AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]{24,}")]
+    classes = {"entropy_hex": ("0-9A-Fa-f", 3.2), "entropy_upper": ("0-9A-Z", 3.6), "entropy_base64": ("0-9A-Za-z+/_=-", 3.9)}
+    kinds += [(kind, f"[{listed}]{{20,}}") for kind, (listed, _) in classes.items()]
+    matches = "\nUNION ALL ".join(
+        f"SELECT r, {k} AS kind, regexp_extract_all(t, '{p}') AS found, string_split_regex(t, '{p}') AS gaps FROM docs"
+        for k, (_, p) in enumerate(kinds)
+    )
+    names = ", ".join(f"'{kind}'" for kind, _ in kinds)
+    limits = "".join(f" WHEN {k} THEN {bits}" for k, (_, bits) in enumerate(classes.values(), 3))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+matches AS ({matches}),
+each AS (
+  SELECT r, kind, unnest(found) AS found, unnest(gaps[:len(found)]) AS gap, unnest(range(len(found))) AS place
+  FROM matches WHERE len(found) > 0),
+placed AS (
+  SELECT *, CAST(sum(length(gap) + length(found)) OVER (PARTITION BY r, kind ORDER BY place) - length(found) AS BIGINT)
+    AS b, right(gap, 40) AS l FROM each),
+base AS (
+  SELECT r, b, kind, b + length(found) AS e FROM placed
+  WHERE (kind = 0 AND length(regexp_extract(found, '{assign}', 1)) >= 6) OR (kind = 1 AND length(found) >= 20) OR kind = 2),
+strings AS (
+  SELECT r, kind, b, string_split(found, '') AS c FROM placed
+  WHERE kind > 2 AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Za-z]')
+    AND NOT regexp_full_match(found, '[0-9A-Fa-f]{{8}}(-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}')
+    AND NOT regexp_matches(found, '(?i)abcdefgh|01234567|12345678|qwertyui|example|sample|placeholder|changeme|dummy|x{{6}}')
+    AND NOT regexp_full_match(found, '([A-Za-z]*[0-9]{{0,4}}[+/_=-])*[A-Za-z]*[0-9]{{0,4}}')
+    AND NOT regexp_matches(l, '(?i)(sha-?(1|224|256|384|512)|md5|commit|revision|checksum)["'']?[\x20:=-]{{0,4}}["'']?$')),
+windows AS (
+  SELECT r, kind, b, i, list_histogram(c[i + 1:i + 20]) AS h
+  FROM (SELECT *, unnest(range(len(c) - 19)) AS i FROM strings)),
+hot AS (
+  SELECT r, kind, b + min(i) AS b, b + max(i) + 20 AS e FROM windows
+  WHERE list_sum(list_transform(map_values(h), lambda n: CAST(round(n * log2(n) * 1000000) AS BIGINT)))
+    <= floor(20 * (log2(20) - CASE kind{limits} END) * 1000000)
+  GROUP BY r, kind, windows.b),
+found AS (
+  SELECT r, b, kind, e, kind < 3 AS base, (ARRAY[{names}])[kind + 1] || ':' || b || ':' || e AS listed
+  FROM (SELECT r, b, kind, e FROM base UNION ALL SELECT r, b, kind, e FROM hot)),
+by_row AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+         count(*) FILTER (kind = 2) AS n_hex, string_agg(listed, ',' ORDER BY b, kind, e) FILTER (base) AS own,
+         string_agg(listed, ',' ORDER BY b, kind, e) AS spans
+  FROM found GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN by_row USING (r)"""
+
+
+OP12 = _secrets()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": OP5, "op6_ngram_join": OP6, "op7_quality_rules": OP7}
+    return {
+        "op5_decontaminate": OP5,
+        "op6_ngram_join": OP6,
+        "op7_quality_rules": OP7,
+        "op12_secret_scan": OP12,
+    }
