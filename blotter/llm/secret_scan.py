@@ -212,33 +212,24 @@ def spans(
     empty. Other columns are not read.
     """
     each = _proposed(docs, id_col, text_col)
-    base = each.filter(F.col("number") < len(PATTERNS))
-    base = base.filter(_by_number([F.expr(one.valid) for one in PATTERNS])).select(
+    # By pattern, an array of one or none: where the span lies within the match.
+    none = F.expr("CAST(array() AS array<struct<first: int, last: int, least: bigint>>)")
+    whole = F.expr(f"array(named_struct('first', 0, 'last', length(found) - {WINDOW}, 'least', CAST(NULL AS BIGINT)))")
+    known = F.lit(False)
+    for entry in allow:
+        known = known | F.coalesce(F.expr(entry.holds), F.lit(False))
+    within = [F.when(F.expr(one.valid), whole).otherwise(none) for one in PATTERNS]
+    within += [F.when(known, none).otherwise(F.filter(_slid(one), lambda s: s["first"] >= 0)) for one in CLASSES]
+    found = each.select("row_key", "start", "number", F.explode(_by_number(within)).alias("s"))
+    return found.select(
         "row_key",
-        "start",
-        (F.col("start") + F.length("found")).alias("end"),
+        (F.col("start") + F.col("s.first")).alias("start"),
+        (F.col("start") + F.col("s.last") + WINDOW).alias("end"),
         "number",
-        F.lit(True).alias("base"),
-        F.lit(None).cast("double").alias("bits"),
+        F.element_at(F.array(*map(F.lit, KINDS)), F.col("number") + 1).alias("kind"),
+        (F.col("number") < len(PATTERNS)).alias("base"),
+        (F.lit(math.log2(WINDOW)) - F.col("s.least") / (WINDOW * UNIT)).alias("bits"),
     )
-    found = base
-    for number, one in enumerate(CLASSES, len(PATTERNS)):
-        strings = each.filter(F.col("number") == number)
-        for entry in allow:
-            strings = strings.filter(~F.coalesce(F.expr(entry.holds), F.lit(False)))
-        # A generator, so that the filter is not pushed below and the sliding done twice.
-        strings = strings.select("row_key", "number", "start", F.explode(_slid(one)).alias("slid"))
-        hot = strings.filter("slid.first >= 0").select(
-            "row_key",
-            (F.col("start") + F.col("slid.first")).alias("start"),
-            (F.col("start") + F.col("slid.last") + WINDOW).alias("end"),
-            "number",
-            F.lit(False).alias("base"),
-            (F.lit(math.log2(WINDOW)) - F.col("slid.least") / (WINDOW * UNIT)).alias("bits"),
-        )
-        found = found.union(hot)
-    names = F.array(*map(F.lit, KINDS))
-    return found.withColumn("kind", F.element_at(names, F.col("number") + 1))
 
 
 def by_document(
