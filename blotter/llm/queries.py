@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm import (
     bpe,
+    collocations,
     decontaminate,
     license_scan,
     main_text,
@@ -17,6 +18,7 @@ from blotter.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    spelling,
     sql,
     token_files,
 )
@@ -121,6 +123,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_checksums(spark, folder)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.by_document(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -136,6 +142,10 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_main_text": op1_main_text,
@@ -148,7 +158,9 @@ def queries() -> dict:
         "op8_sharding": op8_sharding,
         "op9_license_scan": op9_license_scan,
         "op10_token_files": op10_token_files,
+        "op11_collocations": op11_collocations,
         "op12_secret_scan": op12_secret_scan,
+        "op13_spelling": op13_spelling,
     }
 
 

@@ -93,6 +93,83 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+_SCORE = "CAST(CAST({0} AS HUGEINT) * {0} * 1000000 // (CAST({1} AS HUGEINT) * {2}) AS BIGINT)"
+
+OP11 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_small('text')}, '[.,;:!?\\x0A-\\x0D]')) AS p
+  FROM documents),
+words AS (SELECT lang, row_number() OVER () AS p, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces),
+each AS (SELECT lang, p, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM words),
+grams AS (
+  SELECT lang, w1, lead(w1) OVER piece AS w2, lead(w1, 2) OVER piece AS w3
+  FROM each WINDOW piece AS (PARTITION BY p ORDER BY i)),
+f1 AS (SELECT lang, w1, count(*) AS f FROM grams GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM grams WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM grams WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+hidden AS (
+  SELECT lang, w1, w2, max(f) AS longer
+  FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+two AS (
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.f AS a, x.f AS l, y.f AS r,
+         {_SCORE.format('f2.f', 'x.f', 'y.f')} AS score
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+  LEFT JOIN hidden h ON h.lang = f2.lang AND h.w1 = f2.w1 AND h.w2 = f2.w2
+  WHERE f2.f >= 10 AND (longer IS NULL OR 100 * longer < 50 * f2.f)),
+cuts AS (
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 AS phrase, f3.f AS a, x.f AS l1, yz.f AS r1, xy.f AS l2, z.f AS r2,
+         {_SCORE.format('f3.f', 'x.f', 'yz.f')} AS s1, {_SCORE.format('f3.f', 'xy.f', 'z.f')} AS s2
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1 JOIN f1 z ON z.lang = f3.lang AND z.w1 = f3.w3
+  JOIN f2 xy ON xy.lang = f3.lang AND xy.w1 = f3.w1 AND xy.w2 = f3.w2
+  JOIN f2 yz ON yz.lang = f3.lang AND yz.w1 = f3.w2 AND yz.w2 = f3.w3),
+three AS (
+  SELECT lang, phrase, a, CASE WHEN s2 < s1 THEN l2 ELSE l1 END AS l, CASE WHEN s2 < s1 THEN r2 ELSE r1 END AS r,
+         least(s1, s2) AS score FROM cuts)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score
+FROM (SELECT * FROM two UNION ALL SELECT * FROM three) JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+# crc32 by its table of 256 steps, over the bytes of `<doc_id>:<run>`.
+OP13 = f"""
+WITH RECURSIVE steps AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_small('text')}, '[a-z\u00C0-\u00FF]{{5,}}')) AS run FROM documents)
+  GROUP BY ALL),
+bytes AS (SELECT run, n, hex(encode(concat(doc_id, ':', run))) AS x FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(x) // 2),
+      lambda i: CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS h
+  FROM bytes, steps),
+found AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+        FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+without AS (
+  SELECT word, n, k, word[1:k] || word[k + 2:] AS rest
+  FROM (SELECT *, unnest(range(length(word))) AS k FROM found)),
+pairs AS (
+  SELECT x.word AS a, y.word AS b, y.n AS b_n FROM without x JOIN without y USING (k, rest) WHERE x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM without x JOIN found y ON x.rest = y.word
+  UNION SELECT y.word, x.word, x.n FROM without x JOIN found y ON x.rest = y.word),
+nearest AS (
+  SELECT a AS word, count(*) AS n_near, max(b_n) AS most FROM pairs GROUP BY a),
+formed AS (
+  SELECT f.word, f.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN most >= 2 * f.n THEN most END AS form_n,
+         CASE WHEN most >= 2 * f.n THEN (SELECT decode(min(encode(b))) FROM pairs WHERE a = f.word AND b_n = most) END AS form
+  FROM found f LEFT JOIN nearest USING (word)),
+ways AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL SELECT w.word, f.word, f.form FROM ways w JOIN formed f ON f.word = w.next)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM ways WHERE next IS NULL) USING (word)"""
+
+
 def _secrets() -> str:
     """Base matches by plain patterns; entropies counted anew for every window."""
     assign = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -154,5 +231,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_decontaminate": OP5,
         "op6_ngram_join": OP6,
         "op7_quality_rules": OP7,
+        "op11_collocations": OP11,
         "op12_secret_scan": OP12,
+        "op13_spelling": OP13,
     }
