@@ -2,27 +2,59 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import Column, functions as F, types as T
 
 from blotter.functions.sqltext import quoted, string
 
-# Pattern letters whose text is made of digits or AM/PM only, so that a comma or
-# slash in the input can come from nowhere but the pattern's own punctuation.
-_PLAIN_FIELDS = frozenset("yMdHhmsSa")
-_SEPARATORS = frozenset("/,")
+# Pattern fields that are cut from the text, and the text that each takes up. A year may
+# have a minus, but for 0, and has a sign if it has more than four digits; months, days
+# and hours may have zeros in front.
+_FIELDS = {
+    "yyyy": r"(?!-0+(?![0-9]))(?:-?[0-9]{4}|[+-][0-9]{5,19})",
+    "M": "0{0,17}[0-9]{1,2}",
+    "MM": "[0-9]{2}",
+    "d": "0{0,17}[0-9]{1,2}",
+    "dd": "[0-9]{2}",
+    "H": "0{0,17}[0-9]{1,2}",
+    "HH": "[0-9]{2}",
+    "h": "0{0,17}[0-9]{1,2}",
+    "hh": "[0-9]{2}",
+    "mm": "[0-5][0-9]",
+    "ss": "[0-5][0-9]",
+    "a": "(?i:AM|PM)",
+}
+_MARKS = frozenset("/,:-. ")
 
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 
-def _separators(fmt: str | None) -> frozenset[str] | None:
-    """The separators a text must contain to match `fmt`; None if unknown."""
-    if fmt is None or any(c in fmt for c in "'[]") or "MMM" in fmt:
-        return None
-    if any(c.isalpha() and c not in _PLAIN_FIELDS for c in fmt):
+def _cut(fmt: str) -> tuple[str, str, list[str]] | None:
+    """The pattern of a layout's text, that of what stands between fields, and their letters in order.
+
+    None for a layout with other than the fields of a whole time, or with two fields
+    that no mark keeps apart: those are left to Spark's own parser.
+    """
+    parts = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", fmt)
+    pattern, letters, apart = "", [], True
+    for letter, more, marks in parts:
+        if marks:
+            if not _MARKS.issuperset(marks):
+                return None
+            pattern += re.escape(marks)
+        elif not apart or letter + more not in _FIELDS:
+            return None
+        else:
+            pattern += f"(?:{_FIELDS[letter + more]})"
+            letters.append(letter)
+        apart = bool(marks)
+    if sorted(letters) not in (sorted("yMdHms"), sorted("yMdhmsa")):
         return None
-    return _SEPARATORS.intersection(fmt)
+    between = sorted({re.escape(marks) for _, _, marks in parts if marks}, key=len, reverse=True)
+    # A minus that follows a mark is a year's.
+    return rf"\A{pattern}\z", f"(?<=[0-9A-Za-z])(?:{'|'.join(between)})", letters
 
 
 def is_typed(dtype: T.DataType) -> bool:
@@ -33,9 +65,10 @@ def is_typed(dtype: T.DataType) -> bool:
 def attempt(name: str, fmt: str | None) -> Column:
     """Text column `name` read in one layout; null where it does not match.
 
-    A failed pattern parse costs a Java exception per row, several times the
-    price of a successful one. So a pattern is only tried on text that has
-    exactly the pattern's separators; all other text cannot match it.
+    A failed pattern parse costs a Java exception per row, several times the price of a
+    successful one. So the fields of a layout are cut from texts that have its form and
+    put together; a date that does not exist gives null. Only a layout with names,
+    quotes or optional parts goes through Spark's parser.
 
     The result is TIMESTAMP_NTZ: the year, hour and weekday of a record are
     those written in it, and are taken without a time-zone lookup per row.
@@ -45,15 +78,30 @@ def attempt(name: str, fmt: str | None) -> Column:
         # A zone in the text is passed over and a text of a time only is unreadable,
         # whatever the session's zone and the day of the run.
         return F.expr(f"try_cast({text} AS TIMESTAMP_NTZ)")
-    parsed = f"CAST(try_to_timestamp({text}, {string(fmt)}) AS TIMESTAMP_NTZ)"
-    needed = _separators(fmt)
-    if needed is None:
-        return F.expr(parsed)
-    tests = [
-        f"{'' if mark in needed else 'NOT '}contains({text}, '{mark}')"
-        for mark in sorted(_SEPARATORS)
-    ]
-    return F.expr(f"CASE WHEN {' AND '.join(tests)} THEN {parsed} END")
+    cut = _cut(fmt)
+    if cut is None:
+        return F.expr(f"CAST(try_to_timestamp({text}, {string(fmt)}) AS TIMESTAMP_NTZ)")
+    pattern, between, letters = cut
+
+    def field(letter: str) -> str:
+        return f"CAST(f[{letters.index(letter)}] AS INT)"
+
+    # The hours 0 and 13 of a half day are none; 25 makes the time null.
+    year = f"try_cast(f[{letters.index('y')}] AS INT)"
+    if "a" in letters:
+        half = f"IF(lower(f[{letters.index('a')}]) = 'pm', 12, 0)"
+        hour = f"IF({field('h')} BETWEEN 1 AND 12, {field('h')} % 12 + {half}, 25)"
+    else:
+        hour = field("H")
+    made = (
+        f"try_make_timestamp_ntz({year}, {field('M')}, {field('d')}, {hour}, {field('m')},"
+        f" CAST({field('s')} AS DECIMAL(16, 6)))"
+    )
+    # The marks between fields are cut out once a row; the fields stand in an array.
+    fields = f"split({text}, {string(between)})"
+    return F.expr(
+        f"CASE WHEN {text} RLIKE {string(pattern)} THEN transform(array({fields}), f -> {made})[0] END"
+    )
 
 
 def wall_time(expression: str, dtype: T.DataType, zone: str) -> str:

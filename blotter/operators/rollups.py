@@ -8,8 +8,9 @@ cubes, where those have been summed once for several rollups.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blotter.functions.classify import violent_label
 from blotter.functions.timeparse import month_start, weekday_name
@@ -189,6 +190,102 @@ def population_adjusted(compared: DataFrame, left: Source, right: Source) -> Dat
     )
 
 
+def compare_all(months: DataFrame, sources: Sequence[Source]) -> DataFrame:
+    """Every two cities' monthly counts side by side, a row per pair and month.
+
+    Columns: left_city, right_city, year, month, left_crime_count, right_crime_count,
+    diff, ratio; pairs in the sources' order. Like `monthly_compare`, a month known to
+    one city of a pair shows 0 for the other, and one known to neither is left out. All
+    counts of a month are gathered in one shuffle, as an array in the order of the
+    sources, and its pairs unfolded from that.
+    """
+    if len(sources) < 2:
+        raise ValueError("a comparison needs two cities")
+    counts = [F.max(F.when(F.col("city") == s.city, F.col("crime_count"))) for s in sources]
+    by_month = months.groupBy("year", "month").agg(F.array(*counts).alias("counts"))
+    pairs = [
+        F.struct(
+            F.lit(a.city).alias("left_city"),
+            F.lit(b.city).alias("right_city"),
+            F.col("counts")[i].alias("left"),
+            F.col("counts")[j].alias("right"),
+        )
+        for (i, a), (j, b) in combinations(enumerate(sources), 2)
+    ]
+    unfolded = by_month.select("year", "month", F.inline(F.array(*pairs)))
+    unfolded = unfolded.filter(F.col("left").isNotNull() | F.col("right").isNotNull())
+    left, right = (F.coalesce(name, F.lit(0)) for name in ("left", "right"))
+    return unfolded.select(
+        "left_city",
+        "right_city",
+        "year",
+        "month",
+        left.alias("left_crime_count"),
+        right.alias("right_crime_count"),
+        (left - right).alias("diff"),
+        _guarded_ratio(left.cast("double"), right.cast("double")).alias("ratio"),
+    )
+
+
+def with_population(months: DataFrame, populations: DataFrame) -> DataFrame:
+    """Rows of (city, year, month) with the population that held on the month's first day.
+
+    `populations` has city, valid_from (a date) and population. Each of its rows holds until
+    the city's next one; of rows of one date the largest population holds. A
+    month before a city's first row has no population, nor has one of a city
+    that is not there. The join is by city, with bounds on the date; a rollup's
+    months are few, whatever the number of incidents.
+    """
+    dated = populations.filter("valid_from IS NOT NULL").groupBy("city", "valid_from").agg(
+        F.max("population").alias("population")
+    )
+    upto = F.lead("valid_from").over(Window.partitionBy("city").orderBy("valid_from"))
+    spans = dated.withColumn("valid_upto", upto).withColumnRenamed("city", "of_city")
+    first = F.make_date("year", "month", F.lit(1))
+    held = (
+        (F.col("city") == F.col("of_city"))
+        & (first >= F.col("valid_from"))
+        & (F.col("valid_upto").isNull() | (first < F.col("valid_upto")))
+    )
+    return months.join(spans, held, "left").select(*[months[c] for c in months.columns], "population")
+
+
+def population_adjusted_by_date(
+    compared: DataFrame, left: Source, right: Source, populations: DataFrame
+) -> DataFrame:
+    """`population_adjusted` with the populations that held in each month.
+
+    The columns are the same. Where a city has no population yet, what rests on it is null.
+    """
+    names = {s.city: f"{s.label}_crime_count" for s in (left, right)}
+    cities = [F.struct(F.lit(city).alias("city"), F.col(name).alias("n")) for city, name in names.items()]
+    months = compared.select("year", "month", F.inline(F.array(*cities)))
+    held = with_population(months, populations)
+
+    def of(source: Source, name: str) -> Column:
+        return F.max(F.when(F.col("city") == source.city, F.col(name)))
+
+    both = held.groupBy("year", "month").agg(
+        of(left, "n").alias("a"),
+        of(right, "n").alias("b"),
+        of(left, "population").cast("double").alias("a_people"),
+        of(right, "population").cast("double").alias("b_people"),
+    )
+    rate = lambda n: F.col(n).cast("double") * F.lit(100000.0) / F.col(f"{n}_people")
+    head = lambda n: F.col(n).cast("double") / F.col(f"{n}_people")
+    return both.select(
+        "year",
+        "month",
+        F.col("a").alias(names[left.city]),
+        F.col("b").alias(names[right.city]),
+        rate("a").alias(f"{left.short}_per_100k"),
+        rate("b").alias(f"{right.short}_per_100k"),
+        (F.col("a") - F.col("b")).alias("diff_raw"),
+        (rate("a") - rate("b")).alias("diff_per_100k"),
+        _guarded_ratio(head("a"), head("b")).alias(f"{left.short}_to_{right.short}_rate_ratio"),
+    )
+
+
 def coordinates(incidents: DataFrame) -> DataFrame:
     """One row per dated and located incident, with its year and month."""
     return incidents.filter(

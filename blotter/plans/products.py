@@ -13,11 +13,12 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from blotter.functions.sqltext import quoted, string
 from blotter.functions.timeparse import month_start
 from blotter.model import Source
 from blotter.operators import rollups
 from blotter.operators.conform import distinct_cities, incidents
-from blotter.sources.tables import create_database, save_counted, save_table
+from blotter.sources.tables import create_database, save_counted, save_table, save_view
 
 INCIDENT_PARTITIONS = ("city", "month_start")
 COORDINATE_PARTITIONS = ("city", "year", "month")
@@ -46,13 +47,41 @@ def read_product(spark: SparkSession, database: str, name: str) -> DataFrame:
     return found.orderBy(*order, *[c for c in found.columns if c not in order])
 
 
+def _pair_view(everything: str, left: Source, right: Source) -> str:
+    """SQL for one pair of `compare_all`, as `monthly_compare` has it."""
+    return f"""
+        SELECT year, month, left_crime_count AS {quoted(f"{left.label}_crime_count")},
+            right_crime_count AS {quoted(f"{right.label}_crime_count")},
+            diff AS {quoted(f"diff_{left.short}_minus_{right.short}")},
+            ratio AS {quoted(f"{left.short}_to_{right.short}_ratio")}
+        FROM {everything}
+        WHERE left_city = {string(left.city)} AND right_city = {string(right.city)}"""
+
+
+def _adjusted_view(compared: str, left: Source, right: Source) -> str:
+    """SQL for `population_adjusted` over a stored comparison."""
+    a, b = (quoted(f"{s.label}_crime_count") for s in (left, right))
+    rate_a, rate_b = (
+        f"CAST({n} AS DOUBLE) * 100000D / {s.population}D" for n, s in ((a, left), (b, right))
+    )
+    head_a, head_b = (f"CAST({n} AS DOUBLE) / {s.population}D" for n, s in ((a, left), (b, right)))
+    return f"""
+        SELECT year, month, {a}, {b}, {rate_a} AS {quoted(f"{left.short}_per_100k")},
+            {rate_b} AS {quoted(f"{right.short}_per_100k")}, {a} - {b} AS diff_raw,
+            {rate_a} - {rate_b} AS diff_per_100k,
+            CASE WHEN {head_b} > 0 THEN ({head_a}) / ({head_b}) END
+                AS {quoted(f"{left.short}_to_{right.short}_rate_ratio")}
+        FROM {compared}"""
+
+
 def build_products(
     spark: SparkSession, database: str, raws: Sequence[tuple[Source, DataFrame]]
 ) -> dict[str, int]:
     """Write every product into `database`; returns the rows ingested per city.
 
-    Any number of sources, each of another city. Every two are compared: the first
-    two under the plain names, others with both cities' short names added.
+    Any number of sources, each of another city. The first two are compared under the
+    plain names. `crime_monthly_compare_all` has every two of them, from one job; pairs
+    after the first are views of it, with both cities' short names added.
     """
     sources = [source for source, _ in raws]
     cities = distinct_cities(sources)
@@ -89,15 +118,18 @@ def build_products(
             rollups.city_offense_counts(offenses, source.city),
         )
 
-    for number, (left, right) in enumerate(combinations(sources, 2)):
-        suffix = f"_{left.short}_{right.short}" if number else ""
-        compared = stored(
-            f"crime_monthly_compare{suffix}", rollups.monthly_compare(months, left, right)
-        )
-        stored(
-            f"crime_monthly_pop_adjusted{suffix}",
-            rollups.population_adjusted(compared, left, right),
-        )
+    # The first two under the plain names; every pair in one table, from one job.
+    if len(sources) > 1:
+        left, right = sources[:2]
+        compared = stored("crime_monthly_compare", rollups.monthly_compare(months, left, right))
+        stored("crime_monthly_pop_adjusted", rollups.population_adjusted(compared, left, right))
+        stored("crime_monthly_compare_all", rollups.compare_all(months, sources))
+        for a, b in list(combinations(sources, 2))[1:]:
+            suffix = f"{a.short}_{b.short}"
+            compared = _pair_view(table("crime_monthly_compare_all"), a, b)
+            save_view(spark, table(f"crime_monthly_compare_{suffix}"), compared)
+            adjusted = _adjusted_view(table(f"crime_monthly_compare_{suffix}"), a, b)
+            save_view(spark, table(f"crime_monthly_pop_adjusted_{suffix}"), adjusted)
 
     # The incidents lie by month already: each task writes the months it reads.
     located = facts.filter(F.col("month_start").isNotNull())

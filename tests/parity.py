@@ -17,13 +17,16 @@ def duckdb_on(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def assert_same_rows(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> int:
-    """Equal column names and equal rows as multisets; returns their number."""
+def assert_same_rows(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str, ordered: bool = False) -> int:
+    """Equal column names and equal rows, as multisets or in order; returns their number."""
     result = con.execute(sql)
     names = [column[0] for column in result.description]
     assert sorted(names) == sorted(df.columns)
-    expected = Counter(result.fetchall())
-    actual = Counter(tuple(row) for row in df.select(*[f"`{n}`" for n in names]).collect())
+    found = result.fetchall()
+    own = [tuple(row) for row in df.select(*[f"`{n}`" for n in names]).collect()]
+    if ordered:
+        assert own == found
+    expected, actual = Counter(found), Counter(own)
     assert actual == expected, {
         "only in spark": list((actual - expected).items())[:5],
         "only in duckdb": list((expected - actual).items())[:5],

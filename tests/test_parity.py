@@ -19,6 +19,7 @@ ORDERED = {
     "top_offense_groups": ("offense_group",),
     "heatmap": ("weekday",),
     "population_line": ("month",),
+    "monthly_compare_ordered": ("year", "month"),
     "category_distribution": ("-chicago_crime_count", "category"),
     "category_distribution_full": ("-chicago_crime_count", "category"),
 }
@@ -51,6 +52,12 @@ def test_query_keeps_its_order(spark, key):
     assert len(places) > 1
 
 
+@pytest.mark.parametrize("key", ["monthly_compare_ordered", "population_line", "crimes_by_hour", "heatmap"])
+def test_order_is_that_of_the_sql(spark, duck, key):
+    """Where the order leaves no two rows equal, they come in that of the SQL."""
+    assert assert_same_rows(QUERIES[key](spark, SF_DIR), duck, ORACLE[key], ordered=True) > 1
+
+
 def test_entry(spark):
     result = registry.entry(spark)
     assert result.columns == ["city", "year", "month", "crime_count"]

@@ -10,6 +10,7 @@ import __spark_entry__ as registry
 from blotter.model import CHICAGO
 from blotter.operators import rollups
 from blotter.session import configure
+from blotter.sources import extract
 from blotter.sources.extract import first_n
 from tests.helpers import plan
 
@@ -70,7 +71,8 @@ def test_text_is_parsed_once(plans, key):
     """One attempt per layout and row: no pushed-down filter repeats the parse."""
     scans = plans[key].count("orders.parquet")
     layouts = 1 if key == "violent_monthly" else 2
-    assert plans[key].count("gettimestamp(") == layouts * scans
+    assert plans[key].count("try_make_timestamp_ntz(") == layouts * scans
+    assert "gettimestamp(" not in plans[key]
 
 
 def test_shared_counts_are_computed_once(spark):
@@ -114,6 +116,17 @@ def test_extract_merges_no_n_rows_in_one_task(spark):
         configure(spark)
 
 
+def test_extract_of_text_parses_once(spark):
+    """What the first pass stores is the second's input; the result reads stored rows."""
+    df = spark.range(0, 900, 1, 4).selectExpr(
+        "concat(1 + id % 12, '/3/2020 ', 1 + id % 11, ':05:00 PM') AS t", "id"
+    )
+    source = replace(CHICAGO, time_col="t")
+    timed = extract._timed(df, source, "_time").filter("_time < timestamp_ntz'2020-06-01'")
+    assert plan(timed).count("try_make_timestamp_ntz(") == 2  # one for each layout with marks
+    assert "try_make_timestamp_ntz(" not in plan(first_n(df, source, 300))
+
+
 def test_year_is_cut_below_the_counts(plans):
     for branch in plans["population_line"].split("Exchange hashpartitioning(city")[1:]:
         below = branch.split("HashAggregate", 1)[1]

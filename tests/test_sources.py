@@ -150,6 +150,42 @@ def test_first_n_of_times_as_text(spark, n):
     assert out == [*records[:1900], ("soon", 1), (None, 2)][:n]
 
 
+@pytest.mark.parametrize("n", [40, 100, 260])
+def test_first_n_of_clashing_names_and_maps(spark, n):
+    """Names that the extract uses itself stay the source's, in any case."""
+    names = "_time _copies _number _part _rows _before _inside _taken _copy day second rows place upto".split()
+    df = spark.range(250).selectExpr(
+        "if(id > 240, null, timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, 0, 0, 0, id div 50)) AS t",
+        "concat('x', id % 97) AS `_TIME`",
+        "map('k', id % 3) AS m",
+        *[f"id % {k + 2} AS `{name}`" for k, name in enumerate(names[1:])],
+    )
+    df = df.union(df.limit(20)).repartition(5)
+    found = first_n(df, TIMED, n)
+    assert found.columns == df.columns
+
+    def key(r):
+        return [(v is None, str(v).replace("'", "") if isinstance(v, dict) else 0 if v is None else v) for v in r]
+
+    want = sorted((tuple(r) for r in df.collect()), key=key)[:n]
+    assert [tuple(r) for r in found.collect()] == want
+
+
+def test_first_n_counts_the_source_once(spark):
+    """Typed rows are read for the counts, and for the result."""
+    df = spark.createDataFrame([(START + timedelta(hours=i), i) for i in range(500)], "t timestamp_ntz, k int")
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    text = df.select(F.date_format("t", "M/d/yyyy h:mm:ss a").alias("t"), "k").mapInArrow(passed, "t string, k int")
+    assert [r["k"] for r in first_n(text, TIMED, 100).collect()] == list(range(100))
+    assert seen.value == 2 * 500
+
+
 def test_first_n_of_far_times_and_dates(spark):
     df = spark.range(3000).selectExpr(
         "if(id % 2 = 0, timestamp_ntz'9999-12-31 23:59:58', timestamp_ntz'2020-01-01') AS t", "id"

@@ -79,7 +79,8 @@ def test_separator_tests_change_no_result(spark):
         text = list(rng.choice(good))
         for _ in range(rng.randint(0, 3)):
             at = rng.randrange(len(text))
-            text[at : at + rng.randint(0, 2)] = rng.choice([",", "/", " ", ":", "-", "1", "P", ", "])
+            marks = [",", "/", " ", ":", "-", "1", "P", ", ", "0", "00", "13", "60", "+", "am", "\n", "\u0661"]
+            text[at : at + rng.randint(0, 2)] = rng.choice(marks)
         texts.append("".join(text))
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     plain = F.coalesce(
@@ -93,6 +94,27 @@ def test_separator_tests_change_no_result(spark):
     assert df.filter(tolerant.isNull()).count() > 100
 
 
+@pytest.mark.parametrize("fmt", [SPACE_FORMAT, COMMA_FORMAT, "yyyy-MM-dd HH:mm:ss", "dd.MM.yyyy H:mm:ss", "hh:mm:ss a d/M/yyyy"])
+def test_fields_are_read_as_sparks_parser_reads_them(spark, fmt):
+    """Every field at and beyond its bounds."""
+    rng = random.Random(fmt)
+    letters = ["yyyy", "MM", "dd", "HH", "hh", "mm", "ss", "M", "d", "H", "h", "a"]
+    bounds = ["0", "1", "00", "01", "9", "10", "12", "13", "23", "24", "29", "30", "31", "32", "59", "60", "012", "0012"]
+    years = ["2024", "1900", "2023", "0000", "0001", "9999", "999", "02024", "+2024", "+12024", "12024", "-2024"]
+    texts = []
+    for _ in range(3000):
+        text = fmt.replace("yyyy", rng.choice(years) if rng.random() < 0.3 else "2024")
+        for letter in letters[1:-1]:
+            usual = "07" if len(letter) == 2 else "7"
+            text = text.replace(letter, rng.choice(bounds) if rng.random() < 0.25 else usual)
+        texts.append(text.replace("a", rng.choice(["AM", "PM", "pm", "Am", "am ", "A"])) if "a" in fmt else text)
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    plain = F.try_to_timestamp("x", F.lit(fmt)).cast("timestamp_ntz")
+    other = df.filter(~attempt("x", fmt).eqNullSafe(plain))
+    assert other.select("x", attempt("x", fmt).cast("string"), plain.cast("string")).collect() == []
+    assert 100 < df.filter(attempt("x", fmt).isNotNull()).count() < 2900
+
+
 def test_unusual_layouts_are_tried_on_all_text(spark):
     assert parsed(spark, ["4 Jul, 2025"], ("d MMM, yyyy",)) == [datetime(2025, 7, 4)]
     assert parsed(spark, ["2025/07/04", "2025/07/04 05"], ("yyyy/MM/dd[ HH]",)) == [

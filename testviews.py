@@ -44,6 +44,13 @@ CASE o_orderkey % 8 WHEN 4 THEN {space} WHEN 5 THEN {iso} WHEN 6 THEN 'not a dat
   WHEN 7 THEN NULL ELSE {comma} END"""
 
 
+POPULATIONS = """
+SELECT CASE c_nationkey % 2 WHEN 0 THEN 'Chicago' ELSE 'DC' END AS city,
+       make_date(CAST(1996 + c_custkey % 5 AS INT), CAST(1 + c_nationkey % 7 AS INT), 1) AS valid_from,
+       CAST(500000 + 1000 * count(*) AS BIGINT) AS population
+FROM {customer} WHERE c_custkey IS NOT NULL AND c_nationkey IS NOT NULL GROUP BY 1, 2"""
+
+
 def chicago_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source with a typed time, from `lineitem`."""
     lineitem = spark.read.schema(_LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
@@ -76,6 +83,12 @@ def dc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def populations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Populations by city and date, from `customer`: the first of them begin in 1996."""
+    customer = spark.read.schema("c_custkey BIGINT, c_nationkey INT").parquet(f"{sf_dir}/customer.parquet")
+    return spark.sql(POPULATIONS, customer=customer)
+
+
 _RAW = {CHICAGO: chicago_raw, DC: dc_raw}
 
 
