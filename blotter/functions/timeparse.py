@@ -9,9 +9,9 @@ from pyspark.sql import Column, functions as F, types as T
 
 from blotter.functions.sqltext import quoted, string
 
-# Pattern fields that are cut from the text, and the text that each takes up. A year may
-# have a minus, but for 0, and has a sign if it has more than four digits; months, days
-# and hours may have zeros in front.
+# Pattern fields, and the text that each may take up. A year may have a minus, but for 0,
+# and has a sign if it has more than four digits; months, days and hours may have zeros
+# in front.
 _FIELDS = {
     "yyyy": r"(?!-0+(?![0-9]))(?:-?[0-9]{4}|[+-][0-9]{5,19})",
     "M": "0{0,17}[0-9]{1,2}",
@@ -26,35 +26,46 @@ _FIELDS = {
     "ss": "[0-5][0-9]",
     "a": "(?i:AM|PM)",
 }
+# What most texts have there: together these make a time that exists in any month.
+_USUAL = _FIELDS | {
+    "yyyy": "[0-9]{4}",
+    "M": "0?[1-9]|1[0-2]",
+    "MM": "0[1-9]|1[0-2]",
+    "d": "0?[1-9]|1[0-9]|2[0-8]",
+    "dd": "0[1-9]|1[0-9]|2[0-8]",
+    "H": "0?[0-9]|1[0-9]|2[0-3]",
+    "HH": "[01][0-9]|2[0-3]",
+    "h": "0?[1-9]|1[0-2]",
+    "hh": "0[1-9]|1[0-2]",
+}
 _MARKS = frozenset("/,:-. ")
 
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 
 def _cut(fmt: str) -> tuple[str, str, list[str]] | None:
-    """The pattern of a layout's text, that of what stands between fields, and their letters in order.
+    """The patterns of a layout's usual text and of all its text, and its field letters in order.
 
     None for a layout with other than the fields of a whole time, or with two fields
     that no mark keeps apart: those are left to Spark's own parser.
     """
     parts = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", fmt)
-    pattern, letters, apart = "", [], True
+    usual, form, letters, apart = "", "", [], True
     for letter, more, marks in parts:
         if marks:
             if not _MARKS.issuperset(marks):
                 return None
-            pattern += re.escape(marks)
+            usual, form = usual + re.escape(marks), form + re.escape(marks)
         elif not apart or letter + more not in _FIELDS:
             return None
         else:
-            pattern += f"(?:{_FIELDS[letter + more]})"
+            usual += f"(?:{_USUAL[letter + more]})"
+            form += f"(?:{_FIELDS[letter + more]})"
             letters.append(letter)
         apart = bool(marks)
     if sorted(letters) not in (sorted("yMdHms"), sorted("yMdhmsa")):
         return None
-    between = sorted({re.escape(marks) for _, _, marks in parts if marks}, key=len, reverse=True)
-    # A minus that follows a mark is a year's.
-    return rf"\A{pattern}\z", f"(?<=[0-9A-Za-z])(?:{'|'.join(between)})", letters
+    return rf"\A{usual}\z", rf"\A{form}\z", letters
 
 
 def is_typed(dtype: T.DataType) -> bool:
@@ -66,9 +77,11 @@ def attempt(name: str, fmt: str | None) -> Column:
     """Text column `name` read in one layout; null where it does not match.
 
     A failed pattern parse costs a Java exception per row, several times the price of a
-    successful one. So the fields of a layout are cut from texts that have its form and
-    put together; a date that does not exist gives null. Only a layout with names,
-    quotes or optional parts goes through Spark's parser.
+    successful one. So Spark's parser, the fastest way, is given texts only that cannot
+    fail: those of the layout's usual form, up to the 28th of a month. Of other texts of
+    its form the fields are cut out and put together; a date that does not exist gives
+    null. Nothing throws. Only a layout with names, quotes or optional parts is tried on
+    all text.
 
     The result is TIMESTAMP_NTZ: the year, hour and weekday of a record are
     those written in it, and are taken without a time-zone lookup per row.
@@ -78,10 +91,11 @@ def attempt(name: str, fmt: str | None) -> Column:
         # A zone in the text is passed over and a text of a time only is unreadable,
         # whatever the session's zone and the day of the run.
         return F.expr(f"try_cast({text} AS TIMESTAMP_NTZ)")
+    parsed = f"CAST(try_to_timestamp({text}, {string(fmt)}) AS TIMESTAMP_NTZ)"
     cut = _cut(fmt)
     if cut is None:
-        return F.expr(f"CAST(try_to_timestamp({text}, {string(fmt)}) AS TIMESTAMP_NTZ)")
-    pattern, between, letters = cut
+        return F.expr(parsed)
+    usual, form, letters = cut
 
     def field(letter: str) -> str:
         return f"CAST(f[{letters.index(letter)}] AS INT)"
@@ -97,10 +111,14 @@ def attempt(name: str, fmt: str | None) -> Column:
         f"try_make_timestamp_ntz({year}, {field('M')}, {field('d')}, {hour}, {field('m')},"
         f" CAST({field('s')} AS DECIMAL(16, 6)))"
     )
-    # The marks between fields are cut out once a row; the fields stand in an array.
-    fields = f"split({text}, {string(between)})"
+    # The fields are found once a row, in an array. A minus behind a mark is a year's.
+    fields = f"regexp_extract_all({text}, '(?:(?<![0-9A-Za-z])[+-])?[0-9A-Za-z]+', 0)"
+    rare = f"CASE WHEN {text} RLIKE {string(form)} THEN transform(array({fields}), f -> {made})[0] END"
+    # Most text of another layout is told by its marks, without a pattern.
+    told = [f"{'' if mark in fmt else 'NOT '}contains({text}, '{mark}')" for mark in ",/"]
     return F.expr(
-        f"CASE WHEN {text} RLIKE {string(pattern)} THEN transform(array({fields}), f -> {made})[0] END"
+        f"CASE WHEN {' AND '.join(told)} THEN"
+        f" CASE WHEN {text} RLIKE {string(usual)} THEN {parsed} ELSE {rare} END END"
     )
 
 
