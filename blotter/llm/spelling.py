@@ -59,8 +59,8 @@ def _ranks(found: DataFrame) -> dict[str, int]:
     return {g: place for place, (_, g) in enumerate(sorted((n, g) for g, n in counts))}
 
 
-def chosen(word: str, ranks: dict[str, int]) -> list[tuple[int, bool]]:
-    """The places of a word's prefix grams in order, and whether each is a pivot."""
+def chosen(word: str, ranks: dict[str, int]) -> tuple[int, list[tuple[int, bool]]]:
+    """A word's prefix: the rank it ends with, its grams' places in order, and whether each is a pivot."""
     weights = [ranks[word[k : k + 2]] for k in range(len(word) - 1)]
     last = sorted(weights)[2]
     prefix = [k for k, weight in enumerate(weights) if weight <= last]
@@ -74,39 +74,54 @@ def chosen(word: str, ranks: dict[str, int]) -> list[tuple[int, bool]]:
             pair = (weight + weights[k], other, k)
             best = min(best, pair) if best else pair
         single.append(min(single[-1], (weights[k], k)) if single else (weights[k], k))
-    return [(k, k in best[1:]) for k in prefix]
+    return last, [(k, k in best[1:]) for k in prefix]
 
 
 def _chosen(ranks: dict[str, int]) -> Column:
-    kind = pa.list_(pa.struct([("at", pa.int32()), ("pivot", pa.bool_())]))
+    grams = pa.list_(pa.struct([("at", pa.int32()), ("pivot", pa.bool_())]))
 
-    @F.arrow_udf("array<struct<at: int, pivot: boolean>>")
+    @F.arrow_udf("struct<last: int, grams: array<struct<at: int, pivot: boolean>>>")
     def choose(column: pa.Array) -> pa.Array:
-        out = [[{"at": at, "pivot": pivot} for at, pivot in chosen(word, ranks)] for word in column.to_pylist()]
-        return pa.array(out, kind)
+        out = []
+        for word in column.to_pylist():
+            last, prefix = chosen(word, ranks)
+            out.append({"last": last, "grams": [{"at": at, "pivot": pivot} for at, pivot in prefix]})
+        return pa.array(out, pa.struct([("last", pa.int32()), ("grams", grams)]))
 
     return choose.asNondeterministic()("word")
 
 
+#: The letters of a word as bits: one edit takes away one at most and adds one at most.
+_LETTERS = "aggregate(split(word, ''), 0L, (bits, c) -> bits | shiftleft(1L, ascii(c) % 64))"
+
+
 def near(found: DataFrame) -> DataFrame:
     """Pairs of words of `found` (word, n) that are one edit apart, each once: a, a_n, b, b_n; a < b."""
-    grams = found.withColumn("g", F.explode(_chosen(_ranks(found)))).select("word", "n", "g.*")
+    marked = found.select("word", "n", F.expr(_LETTERS).alias("letters"), _chosen(_ranks(found)).alias("p"))
+    grams = marked.select("word", "n", "letters", "p.last", F.inline("p.grams"))
     sides = F.explode(
         F.expr(
             "array(named_struct('front', true, 'part', substr(word, 1, at + 2)),"
             " named_struct('front', false, 'part', substr(word, at + 1)))"
         )
     )
-    parts = stored(grams.select("word", "n", "pivot", sides.alias("s")).select("word", "n", "pivot", "s.*"))
+    own = ["word", "n", "letters", "last"]
+    parts = stored(grams.select(*own, "pivot", sides.alias("s")).select(*own, "pivot", "s.*"))
     size = F.length("word")
-    index = parts.select(F.xxhash64("front", "part", size).alias("key"), F.col("word").alias("b"), F.col("n").alias("b_n"))
-    other = F.explode(F.array(size - 1, size, size + 1))
-    probes = parts.filter("pivot").select("word", "n", "front", "part", other.alias("size"))
-    probes = probes.select(F.xxhash64("front", "part", "size").alias("key"), F.col("word").alias("a"), F.col("n").alias("a_n"))
-    pairs = probes.join(index, "key").filter("levenshtein(a, b, 1) = 1")
-    one = "named_struct('a', a, 'a_n', a_n, 'b', b, 'b_n', b_n)"
-    turned = "named_struct('a', b, 'a_n', b_n, 'b', a, 'b_n', a_n)"
-    return pairs.select(F.expr(f"IF(a < b, {one}, {turned})").alias("p")).select("p.*").distinct()
+
+    def side(rows: DataFrame, length: Column, name: str) -> DataFrame:
+        key = F.xxhash64("front", "part", length).alias("key")
+        return rows.select(key, *[F.col(c).alias(f"{name}_{c}") for c in own])
+
+    index = side(parts, size, "b")
+    probes = parts.filter("pivot").withColumn("size", F.explode(F.array(size - 1, size, size + 1)))
+    pairs = side(probes, F.col("size"), "a").join(index, "key").filter(
+        "a_last <= b_last AND bit_count(a_letters ^ b_letters) <= 2 AND levenshtein(a_word, b_word, 1) = 1"
+    )
+    one = "named_struct('a', a_word, 'a_n', a_n, 'b', b_word, 'b_n', b_n)"
+    turned = "named_struct('a', b_word, 'a_n', b_n, 'b', a_word, 'b_n', a_n)"
+    turned = F.expr(f"IF(a_word < b_word, {one}, {turned})")
+    return stored(pairs.select(turned.alias("p")).select("p.*").distinct())
 
 
 def forms(found: DataFrame, pairs: DataFrame) -> DataFrame:
