@@ -24,6 +24,9 @@ COLUMNS = {
     "op9": "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string,"
     " labels string, score double",
     "op10": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op11": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+    "op12": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
+    "op13": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
 BY_NUMBER = {name.split("_")[0]: name for name in queries.queries()}
 
@@ -38,6 +41,8 @@ def test_all_are_registered():
 def test_columns_and_rows(spark, number):
     found = queries.queries()[BY_NUMBER[number]](spark, SMALL)
     assert ", ".join(f"{name} {kind}" for name, kind in found.dtypes) == COLUMNS[number]
+    if number in ("op11", "op13"):  # rows are phrases and words; test_sql_agrees counts them
+        return
     given = "pages" if number == "op1" else "documents"
     assert found.count() == spark.read.parquet(f"{SMALL}/{given}.parquet").count()
 
