@@ -72,6 +72,7 @@ NOTICES = (
     ("all-rights-reserved", "All rights reserved"),
 )
 
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -97,16 +98,18 @@ def _templates(spark: SparkSession) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text in small letters. n_base counts
+    Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z made small. n_base counts
     the places where a phrase stands word for word; first_word and last_word are the
     smallest and largest of their starts, else null. base_labels are the phrases'
     labels, labels also those of the notices found; both are sorted arrays without
-    repeats. score is the largest share found of any template, 0 for none. One row per
+    repeats. score is the largest share found of any template, 1 for a phrase, 0 for no label. One row per
     input row, repeated rows included. A null or wordless text has no words and no
     labels. Other columns are not read.
     """
     own, text = F.col(f"`{id_col}`"), text_of(text_col)
-    words = F.array_remove(F.split(F.lower(text), _BREAK), "")
+    plain = F.octet_length(text) == F.length(text)
+    small = F.when(plain, F.lower(text)).otherwise(F.translate(text, _CAPITALS, _CAPITALS.lower()))
+    words = F.array_remove(F.split(small, _BREAK), "")
     rows = docs.select(own.alias("id"), F.xxhash64(own, text).alias("row_key"), words.alias("w"))
 
     # Runs of three words, hashed, against the templates' few hundred.
@@ -122,7 +125,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
     hits = stored(hits.distinct())
 
-    votes = hits.groupBy("row_key", "template", "diagonal").agg(F.count("*").alias("votes"))
+    notices = hits.filter("NOT base")
+    votes = notices.groupBy("row_key", "template", "diagonal").agg(F.count("*").alias("votes"))
     in_order = Window.partitionBy("row_key", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(in_order)
     fresh = F.when(apart <= SLACK, 0).otherwise(1)
@@ -143,22 +147,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         .orderBy("at")
         .rangeBetween(0, 2 * _LONGEST - GRAM)
     )
-    merged = hits.join(runs, ["row_key", "template", "diagonal"])
+    merged = notices.join(runs, ["row_key", "template", "diagonal"])
     merged = merged.withColumn("near", F.collect_list(F.struct("at", "place")).over(ahead))
     stretch = F.expr(
         f"size(array_distinct(transform(filter(near, h -> h.at <= at + 2 * length - {GRAM}), h -> h.place)))"
     )
     merged = merged.withColumn("stretch", stretch).groupBy(
-        "row_key", "template", "label", "base", "length", "run"
-    ).agg(
-        F.when(F.col("base"), F.count_distinct("place")).otherwise(F.max("stretch")).alias("seen"),
-    )
+        "row_key", "template", "label", "length", "run"
+    ).agg(F.max("stretch").alias("seen"))
     share = F.col("seen") / (F.col("length") - (GRAM - 1))
     merged = merged.withColumn("share", share).filter(
-        F.col("share") >= F.when(F.col("base") | (F.col("length") < SHORT), 1.0).otherwise(LEAST_SHARE)
+        F.col("share") >= F.when(F.col("length") < SHORT, 1.0).otherwise(LEAST_SHARE)
     )
     found = merged.groupBy("row_key").agg(
-        F.collect_set(F.when(~F.col("base"), F.col("label"))).alias("noticed"),
+        F.collect_set("label").alias("noticed"),
         F.max("share").alias("score"),
     )
     found = exact.join(found, "row_key", "full")
@@ -174,5 +176,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "last_word",
         base_labels.alias("base_labels"),
         F.sort_array(F.array_union(base_labels, F.coalesce("noticed", none))).alias("labels"),
-        F.coalesce("score", F.lit(0.0)).alias("score"),
+        F.when(F.col("n_base").isNotNull(), 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"),
     )

@@ -159,3 +159,20 @@ def test_notices_back_to_back(spark):
     found = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(awkward(spark, rows)).collect()}
     want = {n: (["all-rights-reserved"], 1.0) for n in (1, 2, 3, 50)}
     assert found == want | {60: (["gpl-2"], 1.0), 61: ([], 0.0)}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "under the mit the mit license",
+        "apache license version of license version 2",
+        "cc by cc by by nc",
+        "under the mit license the mit",
+    ],
+)
+def test_a_license_score_needs_a_label(spark, text):
+    """Pieces of a phrase side by side are not the phrase."""
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = license_scan.scan(docs).first()
+    whole = "under the mit license" in text
+    assert (row["score"], row["labels"], row["n_base"]) == (1.0, ["mit"], 1) if whole else (0.0, [], 0)
