@@ -360,6 +360,35 @@ def _smoothness(blocks: list[_Block]) -> list[tuple[int, int, float]]:
     return edges
 
 
+#: Words of a block of prose at least, and blocks of prose of a page whose wrapper counts for nothing.
+PROSE_WORDS = 8
+PROSE_BLOCKS = 3
+
+
+def _unwrapped(found: list[tuple[_Block, str]]) -> None:
+    """Takes back weak and named roles on a page that has its prose in nothing else.
+
+    A form or a name may wrap a whole page. Where no element is content by its own kind,
+    and most blocks of prose (sentences that are not links) have such a role, it tells
+    nothing.
+    """
+    if any(block.role == "content" for block, _ in found):
+        return
+    prose = [
+        block.role
+        for block, text in found
+        if block.role != "boiler"
+        and text.count(" ") + 1 >= PROSE_WORDS
+        and text.endswith(_SENTENCE_ENDS)
+        and 2 * block.linked < len(text)
+    ]
+    wrapped = sum(role in ("weak", "named") for role in prose)
+    if wrapped >= PROSE_BLOCKS and 2 * wrapped > len(prose):
+        for block, _ in found:
+            if block.role in ("weak", "named"):
+                block.role = ""
+
+
 def main_text(html: str) -> str:
     """The content blocks of a page in order, joined by an empty line.
 
@@ -367,6 +396,7 @@ def main_text(html: str) -> str:
     """
     found = [(block, " ".join("".join(block.pieces).split())) for block in _blocks(html)]
     found = [(block, text) for block, text in found if text]
+    _unwrapped(found)
     blocks = [block for block, _ in found]
     kept = minimum_cut([_evidence(*one) for one in found], _smoothness(blocks))
     return "\n\n".join(text for (_, text), keep in zip(found, kept) if keep)

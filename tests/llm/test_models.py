@@ -145,3 +145,17 @@ def test_signs_late_in_a_text_are_learned(spark):
     assert b"good3 good4" in model.dictionaries[0][0] and b"bad3 bad4" in model.dictionaries[0][1]
     held = [r for r in quality_model.scored(docs, model).collect() if r["held_out"]]
     assert held and all((r["score"] > 0.5) == (r["doc_id"] % 2 == 1) for r in held)
+
+
+@pytest.mark.parametrize("wrapper", ['<form id="aspnetForm"><div>', '<div class="tags-page">', '<div id="search-results-layout">'])
+def test_a_wrapper_of_the_whole_page_is_no_boilerplate(wrapper):
+    article = [f"Paragraph number {k} of the article tells the reader a good deal about it." for k in range(4)]
+    page = f"<body>{wrapper}<nav><a href='/'>Home</a></nav>" + "".join(f"<p>{one}</p>" for one in article)
+    assert main_text.main_text(page + "<footer>All rights reserved.</footer></body>") == "\n\n".join(article)
+
+
+def test_a_form_beside_the_article_stays_out():
+    form = "<form>" + "<p>Please fill in all of the fields of this form now.</p>" * 3 + "</form>"
+    text = "The article itself is made of a number of sentences, like this one."
+    assert main_text.main_text(f"<article><p>{text}</p></article>{form}") == text
+    assert main_text.main_text(f"<p>{text}</p>" * 4 + form) == "\n\n".join([text] * 4)
