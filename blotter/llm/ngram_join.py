@@ -8,11 +8,14 @@
 3. With n-grams ordered from rare to frequent, two sets that link share one of their
    first few. A set whose first ones are all its own links with nothing. The others
    enter the index lists of their first n-grams, with their positions.
-4. Set relations: the sets of a list are first compared with the list's leader only.
-   Sets in one group by then need no comparison. Of the rest, joined pairs are dropped
-   by position, size and bitmap, each on its own, and answers are derived from the leader's: what a set shares
-   with the leader, and what it lacks of it, bounds what it shares with another set.
-   Only pairs that all bounds leave are compared, exactly.
+4. Set relations: the sets of a list are first compared with the list's head only, the
+   most central set of its largest group, until that joins no more groups: one set's
+   answers stand for its group. Then each list is cut into blocks by size and position,
+   and a set outside the largest group is joined to those blocks whose bounds allow a
+   link; the other blocks are skipped. Of the joined pairs those in one group, or too
+   far apart by position, size or bitmap, are dropped. From a head's answers follow
+   bounds for the sets that are like it: some pairs are sure to link, others sure not to.
+   Only the rest is compared, exactly.
 """
 
 from __future__ import annotations
@@ -43,11 +46,9 @@ FLUSH = 1_000_000
 #: Texts that a task works on at once.
 ROWS = 1000
 #: Length of a set's bitmap, by which most pairs that cannot link are told apart.
-BITS = 512
-#: Sets of a list that are compared with all its others in one round.
-PER_ROUND = 1024
-#: Parts that the sets of a list are dealt into for that.
-PARTS = 16
+BITS = 1024
+#: Sets of a block on average at most; larger blocks are dealt into parts.
+PER_ROUND = 256
 #: Buckets of the index at least, and the n-grams of a bucket on average at most: one task
 #: holds a bucket's n-grams, so more n-grams make more buckets and not larger ones.
 BUCKETS = 48
@@ -355,80 +356,118 @@ def _lacking(bits: list[str], others: list[str]) -> str:
     return " + ".join(f"bit_count({a} & ~{b})" for a, b in zip(bits, others))
 
 
-def _linked(core: DataFrame, percent: int, per_round: int) -> DataFrame:
+def _star_answers(entries: DataFrame, core: DataFrame, percent: int):
+    """Compares sets with the head of each of their lists until no new link joins two groups.
+
+    A list's head is the most central set of its largest group: the one with the least
+    share of n-grams of its own. Returns the lists that still have several groups, the
+    comparisons (a with head b), and edges (a, b) that connect the groups so far.
+    """
+    spark = core.sparkSession
+    edges = spark.createDataFrame([], "a bigint, b bigint")
+    answers = spark.createDataFrame([], "a bigint, b bigint, na bigint, nb bigint, both bigint")
+    while True:
+        group = components(edges).select(F.col("node").alias("key"), "component")
+        mine = entries.join(group, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        central = F.max(F.struct((-F.col("alone") / F.col("n")).alias("own"), "key"))
+        per_group = mine.groupBy("gram", "component").agg(F.count("*").alias("c"), central.alias("head"))
+        lists = per_group.groupBy("gram").agg(
+            F.count("*").alias("groups"), F.max(F.struct("c", "head", "component")).alias("t")
+        ).filter("groups > 1")
+        lists = lists.select("gram", F.col("t.component").alias("largest"), F.col("t.head.key").alias("head"))
+        left = stored(mine.join(lists, "gram"))
+        asked = left.filter("component <> largest").select(F.col("key").alias("a"), F.col("head").alias("b"))
+        asked = asked.distinct().join(answers.select("a", "b"), ["a", "b"], "left_anti")
+        new = stored(_overlaps(asked, core))
+        found = new.filter(_links(percent)).select("a", "b")
+        answers = answers.union(new)
+        if found.isEmpty():
+            return left.drop("head"), answers, edges
+        edges = stored(group.select(F.col("key").alias("a"), F.col("component").alias("b")).union(found))
+        entries = left.drop("component", "largest", "head")
+
+
+def _linked(core: DataFrame, percent: int, per_block: int) -> DataFrame:
     """Links (a, b) that connect all that any links connect."""
-    entries = core.select(
-        "key", "n", F.posexplode("first").alias("p", "gram"), "at"
-    ).select("gram", "key", "n", (F.col("at") + F.col("p")).alias("at"))
-    lists = entries.groupBy("gram").agg(
-        F.count("*").alias("c"), F.min("key").alias("leader")
-    ).filter("c > 1")
-    entries = stored(entries.join(lists.drop("c"), "gram"))
-
-    led = entries.filter("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b"))
-    answers = stored(_overlaps(led.distinct(), core))
-    links = answers.filter(_links(percent)).select("a", "b")
-    # Each set's most similar leader, with what they share.
-    best = answers.filter(_links(percent)).groupBy("a").agg(
-        F.max(F.struct((F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("j"), "b", "both")).alias("t")
+    entries = core.select("key", "n", "at", F.posexplode("first").alias("p", "gram"))
+    entries = entries.select(
+        "gram", "key", "n", F.col("at").alias("alone"), (F.col("at") + F.col("p")).alias("at")
     )
-    best = best.select(F.col("a").alias("key"), F.col("t.b").alias("head"), F.col("t.both").alias("with_head"))
-    known = answers.select(F.col("a").alias("other"), F.col("b").alias("head"), F.col("both").alias("head_other"))
+    lists = entries.groupBy("gram").count().filter("count > 1").select("gram")
+    left, answers, edges = _star_answers(stored(entries.join(lists, "gram")), core, percent)
 
+    # A list's blocks hold sets of about one size and position.
+    band = F.struct(
+        F.floor(F.log("n") / F.log(F.lit(1.05))).alias("size"),
+        F.floor(F.col("at") * 25 / F.col("n")).alias("place"),
+    )
+    left = left.withColumn("band", band)
+    blocks = left.groupBy("gram", "band").agg(
+        F.min("n").alias("least"), F.max(F.col("n") - F.col("at")).alias("reach"), F.count("*").alias("c")
+    )
+    blocks = stored(
+        blocks.select("gram", "band", "least", "reach", F.ceil(F.col("c") / per_block).alias("parts"))
+    )
     bits, other_bits = ([f"{name}{k}" for k in range(BITS // 64)] for name in ("bits", "other_bits"))
     marked = core.select("key", "shared", *[F.col("bits")[k].alias(b) for k, b in enumerate(bits)])
 
-    while True:
-        group = components(links)
-        mine = entries.join(group.withColumnRenamed("node", "key"), "key", "left")
-        mine = mine.withColumn("component", F.coalesce("component", "key"))
-        sizes = mine.groupBy("gram", "component").count()
-        most = sizes.groupBy("gram").agg(
-            F.max(F.struct("count", "component")).alias("t"), F.count("*").alias("groups")
-        ).filter("groups > 1").select("gram", F.col("t.component").alias("largest"))
-        open_lists = stored(mine.join(most, "gram").join(marked, "key"))
-        if open_lists.isEmpty():
-            return links
-        # Outside a list's largest group: some sets a round, each against all others.
-        minor = open_lists.filter("component <> largest")
-        rank = F.row_number().over(Window.partitionBy("gram").orderBy("key"))
-        turn = minor.withColumn("rank", rank).filter(F.col("rank") <= per_round)
-        turn = turn.select(
-            "gram",
-            F.col("key").alias("other"),
-            F.col("n").alias("m"),
-            F.col("at").alias("other_at"),
-            F.col("component").alias("other_component"),
-            F.col("shared").alias("other_shared"),
-            *[F.col(a).alias(b) for a, b in zip(bits, other_bits)],
-        )
-        # They share no more than what follows in either; than the shared n-grams less
-        # those whose bit the other set lacks.
-        bounds = (
-            "n - at",
-            "m - other_at",
-            f"shared - ({_lacking(bits, other_bits)})",
-            f"other_shared - ({_lacking(other_bits, bits)})",
-        )
-        part = F.pmod("key", F.lit(PARTS)).cast("int")
-        dealt = turn.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-        pairs = open_lists.withColumn("part", part).join(dealt, ["gram", "part"])
-        pairs = pairs.filter("component <> other_component")
-        for bound in bounds:
-            pairs = pairs.filter(_within(bound, percent))
-        pairs = pairs.select("key", "n", "other", "m").distinct()
-        # |x and y| <= |head and y| + |x without head|
-        derived = pairs.join(best, "key", "left").join(known, ["other", "head"], "left")
-        bound = "least(n, m, coalesce(head_other + n - with_head, n))"
-        pairs = derived.filter(_within(bound, percent)).select(
-            F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")
-        )
-        found = stored(_overlaps(pairs.distinct(), core).filter(_links(percent)).select("a", "b"))
-        links = links.union(found)
-        done = turn.select("gram", F.col("other").alias("key"))
-        entries = stored(
-            open_lists.select("gram", "key", "n", "at").join(done, ["gram", "key"], "left_anti")
+    # Sets outside a list's largest group are joined to the blocks that may hold a link.
+    minor = left.filter("component <> largest").select(
+        "gram",
+        "key",
+        F.col("n").alias("m"),
+        F.col("at").alias("other_at"),
+        F.col("component").alias("other_component"),
+    )
+    fits = f"{100 + percent} * least(m - other_at, reach) >= {percent} * (m + least)"
+    turn = minor.join(blocks, "gram").filter(fits)
+    turn = turn.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    turn = turn.join(marked, "key").select(
+        "gram", "band", "part", "m", "other_at", "other_component",
+        F.col("key").alias("other"),
+        F.col("shared").alias("other_shared"),
+        *[F.col(a).alias(b) for a, b in zip(bits, other_bits)],
+    )
+    dealt = left.join(blocks.select("gram", "band", "parts"), ["gram", "band"])
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))).join(marked, "key")
+    # They share no more than what follows in either; than the shared n-grams less
+    # those whose bit the other set lacks.
+    bounds = (
+        "n - at",
+        "m - other_at",
+        f"shared - ({_lacking(bits, other_bits)})",
+        f"other_shared - ({_lacking(other_bits, bits)})",
+    )
+    pairs = dealt.join(turn, ["gram", "band", "part"])
+    pairs = pairs.filter("component <> other_component and (component = largest or key < other)")
+    for bound in bounds:
+        pairs = pairs.filter(_within(bound, percent))
+    pairs = pairs.select("key", "n", "other", "m").distinct()
+
+    # Answers derived from those of a set's most similar head:
+    # |x and y| is at most |head and y| + |x without head|, and at least
+    # |x and head| + |head and y| - |head|.
+    likeness = (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("j")
+    best = answers.filter(_links(percent)).groupBy("a").agg(F.max(F.struct(likeness, "b", "both", "nb")).alias("t"))
+    best = best.select(
+        F.col("a").alias("key"),
+        F.col("t.b").alias("head"),
+        F.col("t.both").alias("with_head"),
+        F.col("t.nb").alias("n_head"),
+    )
+    known = answers.select(F.col("a").alias("other"), F.col("b").alias("head"), F.col("both").alias("head_other"))
+    derived = pairs.join(best, "key", "left").join(known, ["other", "head"], "left")
+    derived = stored(
+        derived.filter(_within("least(n, m, coalesce(head_other + n - with_head, n))", percent)).select(
+            F.least("key", "other").alias("a"),
+            F.greatest("key", "other").alias("b"),
+            F.expr(_within("coalesce(with_head + head_other - n_head, 0)", percent)).alias("sure"),
         )
+    )
+    sure = derived.filter("sure").select("a", "b")
+    open_pairs = derived.filter("not sure").select("a", "b").distinct()
+    found = _overlaps(open_pairs, core).filter(_links(percent)).select("a", "b")
+    return edges.union(sure).union(found)
 
 
 def groups(
