@@ -35,15 +35,16 @@ SPREAD = 65_536
 #: Tokens that must agree on either side of a window, and its first reach in bytes.
 AGREE = 4
 REACH = 48
-#: Pieces a worker remembers, and the longest that it does.
+#: Pieces a worker remembers, bare words, and the longest that it does.
 MEMO = 300_000
+WORD_MEMO = 1_200_000
 MEMO_CHARS = 64
 
 _PIECE = re.compile(r"\s*\S+|\s+")
 #: White space to Python but not to the tokenizers' patterns.
 _UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
 #: Full stops and commas beside what may be one word with them.
-_TIGHT = re.compile(r"[.,](?:[^\s\w]|_)|(?:[^\s\w]|_)[.,]")
+_TIGHT = re.compile(r"[.,](?:(?=[^\s\w]|_)|(?<=[^\s\w][.,])|(?<=_[.,]))")
 _MARKS = string.punctuation
 #: Letters up to here are plain to every version of the patterns; no mark joins them.
 _PLAIN_LETTERS = "\u024f"
@@ -86,10 +87,16 @@ class PieceEncoder:
         """The ids of each of the words, all of them encoded in one call."""
         raise NotImplementedError
 
+    def _unseen(self, pieces: set[str]) -> set[str]:
+        """The pieces that are not remembered; where there is no room, all are forgotten."""
+        unseen = pieces.difference(self.memo)
+        if len(self.memo) + 2 * len(unseen) > MEMO:
+            self.memo.clear()
+            return pieces
+        return unseen
+
     def _learn(self, unseen: set[str]) -> None:
         memo = self.memo
-        if len(memo) + 2 * len(unseen) > MEMO:
-            memo.clear()
         stems = {piece: self.stem(piece) or self.stem(piece.rstrip(_MARKS)) for piece in unseen}
         words = list({stem for stem in stems.values() if stem and stem not in memo})
         for start in range(0, len(words), 8192):
@@ -121,10 +128,8 @@ class PieceEncoder:
             None if any(mark in text for mark in _UNLIKE) else self.pieces(text) for text in texts
         ]
         distinct = set().union(*(pieces for pieces in split if pieces))
-        unseen = distinct.difference(self.memo)
+        unseen = self._unseen(distinct)
         long = {piece for piece in unseen if len(piece) > MEMO_CHARS}
-        if len(self.memo) + 2 * len(unseen) > MEMO:
-            unseen = distinct
         self._learn(unseen - long)
         known = self.memo
         if long:
@@ -230,7 +235,10 @@ class ByteEncoder(PieceEncoder):
 
 
 class WordEncoder(PieceEncoder):
-    """A vocabulary with word ends that drops white space, so pieces are bare words."""
+    """A vocabulary with word ends that drops white space, so pieces are bare words.
+
+    The ids of words are remembered in two generations.
+    """
 
     def __init__(self, path: str):
         super().__init__(path)
@@ -238,6 +246,20 @@ class WordEncoder(PieceEncoder):
         for token, number in self.tokenizer.get_vocab().items():
             ends[number] = token.endswith("</w>")
         self.word_ends = ends
+        self.older: dict[str, bytes] = {}
+
+    def _unseen(self, pieces: set[str]) -> set[str]:
+        """The pieces that neither generation has; those of the older one come back.
+
+        A younger generation that is full becomes the older one.
+        """
+        unseen = pieces.difference(self.memo)
+        if len(self.memo) + 2 * len(unseen) > WORD_MEMO // 2:
+            self.older, self.memo = self.memo, {}
+            unseen = pieces
+        met = unseen.intersection(self.older)
+        self.memo.update((piece, self.older[piece]) for piece in met)
+        return unseen - met
 
     def pieces(self, text: str) -> list[str]:
         """Words, in small letters and without their full stops and commas where that is sure
