@@ -51,6 +51,33 @@ def test_near_groups(spark, per_round):
     assert got == groups_of(rows)
 
 
+def test_a_large_family_takes_few_comparisons(spark, monkeypatch):
+    """Near copies of one text, some linked by way of others only; the text itself is not there."""
+    own = random.Random(66)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for name in range(400):
+        words = base[:]
+        for place in own.sample(range(120), own.choice([0, 1, 1, 2, 3, 4, 5])):
+            words[place] = f"x{own.randrange(10_000)}" if own.random() < 0.7 else f"y{place}"
+        rows.append((name, " ".join(words)))
+    asked = []
+    made = ngram_join._overlaps
+
+    def counted(pairs, core):
+        asked.append(pairs.count())
+        return made(pairs, core)
+
+    monkeypatch.setattr(ngram_join, "_overlaps", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngram_join.groups(docs, per_round=16).collect()
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found)
+    assert got == groups_of(rows)
+    assert len({component for _, _, component in got}) > 1
+    # All pairs would be 79,800.
+    assert sum(asked) < 20 * len(rows)
+
+
 def test_no_documents(spark):
     assert ngram_join.groups(empty(spark)).count() == 0
     assert ngram_join.one_each(empty(spark)).count() == 0
