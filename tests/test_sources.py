@@ -8,7 +8,8 @@ from blotter.model import CHICAGO, DC
 from blotter.operators.conform import incidents
 from blotter.sources import tables
 from blotter.sources.extract import first_n
-from blotter.sources.readers import read_csv
+from blotter.sources import readers
+from blotter.sources.readers import read_csv, read_mixed_csv
 from tests.helpers import ordered, rows
 
 CSV = "date,primary_type,latitude,longitude,extra\n" \
@@ -68,6 +69,36 @@ def test_csv_files_of_one_header(spark, tmp_path):
     assert rows(read_csv(spark, str(tmp_path)).select("n")) == {("a",): 1, ("b",): 1}
 
 
+def test_files_of_several_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,n\n2025-07-04,3\n\n2025-07-05,\n")
+    (tmp_path / "b.csv").write_text("n,Date,\"a, b\"\n4,2025-07-06,\"x, y\"\nn,Date,\"a, b\"\n5,2025-07-07\n")
+    (tmp_path / "c.csv").write_text("broken,n,line\r\nz,6,file\r\n1,2,3,4\r\n")
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv").write_text("n,date\n")
+    found, rejected = read_mixed_csv(spark, str(tmp_path))
+    assert found.columns == ["Date", "a, b", "broken", "line", "n"]
+    assert rows(found) == {
+        ("2025-07-04", None, None, None, "3"): 1,
+        ("2025-07-05", None, None, None, None): 1,
+        ("2025-07-06", "x, y", None, None, "4"): 1,
+        (None, None, "z", "file", "6"): 1,
+    }
+    assert {(r["file"][-5:], r["line"]) for r in rejected.collect()} == {
+        ("b.csv", "5,2025-07-07"),
+        ("c.csv", "1,2,3,4"),
+    }
+
+
+def test_headers_that_cannot_be_read(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("n,N\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_mixed_csv(spark, str(tmp_path))
+    (tmp_path / "b.csv").write_text("n\n1\n")
+    monkeypatch.setattr(readers, "LAYOUTS", 1)
+    with pytest.raises(ValueError, match="distinct headers"):
+        read_mixed_csv(spark, str(tmp_path))
+
+
 @pytest.fixture
 def database(spark):
     tables.create_database(spark, "sources_test")
