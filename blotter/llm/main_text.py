@@ -115,13 +115,23 @@ NEXT = 1.2
 SIBLING = 0.4
 
 
+class _Element:
+    """An open element that ends blocks; it knows its parent, so no block needs its whole path."""
+
+    __slots__ = ("parent", "depth", "tag")
+
+    def __init__(self, parent: _Element | None, tag: str):
+        self.parent, self.tag = parent, tag
+        self.depth: int = parent.depth + 1 if parent else 0
+
+
 class _Block:
-    __slots__ = ("pieces", "linked", "path", "tag", "role")
+    __slots__ = ("pieces", "linked", "within", "role")
 
-    def __init__(self, path: tuple, tag: str, role: str):
+    def __init__(self, within: _Element, role: str):
         self.pieces: list[str] = []
         self.linked = 0
-        self.path, self.tag, self.role = path, tag, role
+        self.within, self.role = within, role
 
 
 def _role(name: str, rest: str, outer: str) -> str | None:
@@ -170,9 +180,11 @@ def _role(name: str, rest: str, outer: str) -> str | None:
 
 def _blocks(html: str) -> list[_Block]:
     out: list[_Block] = []
-    # Open elements: name, number, role; role None where nothing inside is shown.
-    stack: list[tuple[str, int, str | None]] = [("", 0, "")]
-    numbers = 0
+    # Open elements: name, innermost block element, role; role None where nothing inside is shown.
+    stack: list[tuple[str, _Element, str | None]] = [("", _Element(None, ""), "")]
+    # Places in the stack by name, so that no tag has to look through all open elements.
+    places: dict[str, list[int]] = {}
+    titles = True
     current: _Block | None = None
     links = 0
     at, end = 0, len(html)
@@ -185,9 +197,7 @@ def _blocks(html: str) -> list[_Block]:
         if current is None:
             if piece.isspace():
                 return
-            shown = [one for one in stack if one[0] in _BLOCKS]
-            tag = shown[-1][0] if shown else ""
-            current = _Block(tuple(one[1] for one in shown), tag, stack[-1][2])
+            current = _Block(stack[-1][1], stack[-1][2])
             out.append(current)
         if "&" in piece:
             piece = unescape(piece)
@@ -198,12 +208,17 @@ def _blocks(html: str) -> list[_Block]:
     def close(place: int) -> None:
         nonlocal current, links
         for name, _, _ in stack[place:]:
+            places[name].pop()
             if name in _BLOCKS:
                 current = None
             elif name == "a":
                 links -= 1
         del stack[place:]
 
+    def latest(*names: str) -> int:
+        """Place of the innermost open element of these names; 0 if there is none."""
+        return max(places[name][-1] if places.get(name) else 0 for name in names)
+
     while at < end:
         found = _TAG.search(html, at, last) if at < last else None
         if found is None:
@@ -217,13 +232,10 @@ def _blocks(html: str) -> list[_Block]:
         if not name:
             continue
         if found["end"] or found["end2"]:
-            for place in range(len(stack) - 1, 0, -1):
-                if stack[place][0] == name:
-                    close(place)
-                    break
-            else:
-                if name in _BLOCKS:
-                    current = None
+            if place := latest(name):
+                close(place)
+            elif name in _BLOCKS:
+                current = None
             continue
         rest = found["rest"] or found["rest2"] or ""
         if name == "br":
@@ -232,28 +244,32 @@ def _blocks(html: str) -> list[_Block]:
         if name in _BLOCKS:
             current = None
             shut = _CLOSES.get(name, ())
-            fences = _FENCES.get(name, _CELLS)
-            for place in range(len(stack) - 1, 0, -1):
-                open_name = stack[place][0]
-                if open_name == "p" or open_name in shut:
-                    close(place)
-                    if open_name == name:
-                        break
-                elif open_name in _BLOCKS and (not shut or open_name in fences):
+            fence = latest(*_FENCES.get(name, _CELLS))
+            while stack[-1][1].tag == "p" or shut:
+                place = latest("p", *shut)
+                if place <= fence:
+                    break
+                closed = stack[place][0]
+                close(place)
+                if closed == name:
                     break
         if name in _VOID:
             continue
         outer = stack[-1][2]
         role = None if outer is None or name in _SILENT else _role(name, rest, outer)
         if name in _RAW:
+            if name == "title" and not titles:
+                continue
             closing = re.compile(rf"</{name}[\s/>]", re.I).search(html, at)
             if closing is None and name == "title":
+                titles = False  # nor will a later one be closed
                 continue
             at = closing.start() if closing else end
         if rest.endswith("/") and name not in _BLOCKS:
             continue
-        numbers += 1
-        stack.append((name, numbers, role))
+        within = stack[-1][1]
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, _Element(within, name) if name in _BLOCKS else within, role))
         if name == "a":
             links += 1
     return out
@@ -261,7 +277,7 @@ def _blocks(html: str) -> list[_Block]:
 
 def _evidence(block: _Block, text: str) -> float:
     words = text.count(" ") + 1
-    score = PRIOR + TAGS.get(block.tag, 0.0) + PER_LOG_WORD * (np.log1p(words) - 1.5)
+    score = PRIOR + TAGS.get(block.within.tag, 0.0) + PER_LOG_WORD * (np.log1p(words) - 1.5)
     score += LINKED * min(1.0, block.linked / max(1, len(text)))
     if text.endswith(_SENTENCE_ENDS):
         score += ENDS_SENTENCE
@@ -343,20 +359,30 @@ def minimum_cut(evidence: list[float], edges: list[tuple[int, int, float]]) -> l
             node = heads[edge]
 
 
+def _apart(a: _Element, b: _Element) -> int:
+    """Steps from the one up to the common element and down to the other, less one on each side.
+
+    Blocks follow each other as the page's elements do, so the steps of all neighbours
+    together are at most two an element.
+    """
+    up = down = 0
+    while a is not b:
+        if a.depth >= b.depth and a.parent:
+            a, up = a.parent, up + 1
+        else:
+            b, down = b.parent, down + 1
+    return max(0, up - 1) + max(0, down - 1)
+
+
 def _smoothness(blocks: list[_Block]) -> list[tuple[int, int, float]]:
     edges = []
     for k in range(1, len(blocks)):
-        a, b = blocks[k - 1].path, blocks[k].path
-        same = 0
-        for x, y in zip(a, b):
-            if x != y:
-                break
-            same += 1
-        # Steps from the one up to the common element and down to the other.
-        apart = max(0, len(a) - same - 1) + max(0, len(b) - same - 1)
-        edges.append((k - 1, k, NEXT / (1 + apart)))
-        if k > 1 and blocks[k - 2].path[:-1] == b[:-1]:
-            edges.append((k - 2, k, SIBLING))
+        a, b = blocks[k - 1].within, blocks[k].within
+        edges.append((k - 1, k, NEXT / (1 + _apart(a, b))))
+        if k > 1:
+            c = blocks[k - 2].within
+            if (c.parent or c) is (b.parent or b):
+                edges.append((k - 2, k, SIBLING))
     return edges
 
 

@@ -4,6 +4,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +160,26 @@ def test_a_form_beside_the_article_stays_out():
     text = "The article itself is made of a number of sentences, like this one."
     assert main_text.main_text(f"<article><p>{text}</p></article>{form}") == text
     assert main_text.main_text(f"<p>{text}</p>" * 4 + form) == "\n\n".join([text] * 4)
+
+
+@pytest.mark.parametrize("page", [
+    "<div>Some words in a sentence of eight or more words here." * 20_000,
+    "<div>Some words in a sentence, closed again. " * 20_000 + "</div>" * 20_000,
+    "<span>" * 20_000 + "<p>word</b>" * 20_000,
+    "<div>" * 20_000 + "<li>word." * 20_000,
+    "<title>a" * 20_000,
+])
+def test_deep_pages_take_time_in_proportion(page):
+    """No block holds the whole path to it, and no tag looks through all open elements."""
+    began = time.process_time()
+    main_text.main_text(page)
+    assert time.process_time() - began < 6
+
+
+def test_an_elements_begin_closes_what_it_may():
+    page = "<article><ul><li>One.<li>Two <b>and<li>three.</ul><table><tr><td>A.<td>B.<tr><td>C.</table><p>D.<p>E.<div>F.</div>G."
+    found = [("".join(b.pieces), b.within.tag, b.within.depth) for b in main_text._blocks(page)]
+    assert found == [
+        ("One.", "li", 3), ("Two and", "li", 3), ("three.", "li", 3), ("A.", "td", 4), ("B.", "td", 4),
+        ("C.", "td", 4), ("D.", "p", 2), ("E.", "p", 2), ("F.", "div", 2), ("G.", "article", 1),
+    ]
