@@ -7,14 +7,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from blotter.functions.sqltext import quoted, string
+from blotter.functions.sqltext import quoted, string, unused
 from blotter.functions.timeparse import attempt, is_typed, wall_time
 from blotter.model import INCIDENT_COLUMNS, Source
 
 
-def conform(raw: DataFrame, source: Source, dated: bool = False) -> DataFrame:
+def conform(
+    raw: DataFrame, source: Source, dated: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """One source as incidents. Every raw row is kept, parsed or not, unless `dated`.
 
+    The raw columns of `keep` come along behind the incidents' own.
+
     Coordinates that are no finite number become null, as unreadable times do.
     Layouts are tried in a step of their own, so that `ts` and `ts_strict` share
     them. With `dated`, only incidents with a readable time: for a typed time by a
@@ -29,10 +33,9 @@ def conform(raw: DataFrame, source: Source, dated: bool = False) -> DataFrame:
         layouts = {fmt: wall for fmt in source.formats + source.strict_formats}
         tried = raw.filter(F.col(time).isNotNull()) if dated else raw
     else:
-        layouts = {
-            fmt: f"_time{i}"
-            for i, fmt in enumerate(dict.fromkeys(source.formats + source.strict_formats))
-        }
+        formats = list(dict.fromkeys(source.formats + source.strict_formats))
+        names = unused(raw.columns, *[f"_time{i}" for i in range(len(formats))])
+        layouts = dict(zip(formats, names))
         attempts = [attempt(source.time_col, fmt).alias(name) for fmt, name in layouts.items()]
         tried = raw.select("*", *attempts)
 
@@ -52,6 +55,7 @@ def conform(raw: DataFrame, source: Source, dated: bool = False) -> DataFrame:
         f"CAST({group} AS STRING) AS offense_group",
         f"{finite(source.longitude_col)} AS longitude",
         f"{finite(source.latitude_col)} AS latitude",
+        *map(quoted, keep),
     )
     return _parsed_once(found) if dated and not typed else found
 

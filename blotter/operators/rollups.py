@@ -40,8 +40,12 @@ def strict_cube(incidents: DataFrame, sources: Sequence[Source]) -> DataFrame:
 
     The rule is applied to incidents, so no offense name becomes a key.
     """
-    ruled = keyed(incidents).withColumn("is_violent", _is_violent(sources))
-    return _total(ruled, "city", "month_start_strict", "is_violent")
+    return _total(ruled(keyed(incidents), sources), "city", "month_start_strict", "is_violent")
+
+
+def ruled(counts: DataFrame, sources: Sequence[Source]) -> DataFrame:
+    """Keyed incidents with `is_violent`, by the rule of each one's source."""
+    return counts.withColumn("is_violent", _is_violent(sources))
 
 
 def _total(counts: DataFrame, *keys: str) -> DataFrame:
@@ -125,7 +129,7 @@ def violent_monthly(counts: DataFrame, sources: Sequence[Source] = ()) -> DataFr
     `strict_cube`, where the rule has been applied.
     """
     if "is_violent" not in counts.columns:
-        counts = counts.withColumn("is_violent", _is_violent(sources))
+        counts = ruled(counts, sources)
     return _dated_total(counts, "month_start_strict", "is_violent").select(
         "city",
         F.year("month_start_strict").alias("year"),
