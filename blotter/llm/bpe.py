@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,9 @@ SPREAD = 65_536
 #: Tokens that must agree on either side of a window, and its first reach in bytes.
 AGREE = 4
 REACH = 48
+#: Characters of text whose pieces are looked up together; of bare words, more.
+TOGETHER = 1 << 20
+WORDS_TOGETHER = 1 << 23
 #: Pieces a worker remembers, bare words, and the longest that it does.
 MEMO = 300_000
 WORD_MEMO = 1_200_000
@@ -63,6 +67,8 @@ def byte_characters() -> dict[str, int]:
 class PieceEncoder:
     """Encodes texts piece by piece; ids are little-endian unsigned 32-bit integers."""
 
+    together = TOGETHER
+
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -97,26 +103,40 @@ class PieceEncoder:
 
     def _learn(self, unseen: set[str]) -> None:
         memo = self.memo
-        stems = {piece: self.stem(piece) or self.stem(piece.rstrip(_MARKS)) for piece in unseen}
-        words = list({stem for stem in stems.values() if stem and stem not in memo})
+        words, marked, others = set(), [], set()
+        for piece in unseen:
+            stem = self.stem(piece) or self.stem(piece.rstrip(_MARKS))
+            if not stem:
+                others.add(piece)
+                continue
+            if stem not in memo:
+                words.add(stem)
+            if stem != piece:
+                marked.append((piece, stem))
+        words = list(words)
         for start in range(0, len(words), 8192):
             part = words[start : start + 8192]
             memo.update(zip(part, self.parted(part)))
-        marked = [(piece, stem) for piece, stem in stems.items() if stem and piece != stem]
         tails = [piece[len(stem) :] for piece, stem in marked]
-        others = {piece for piece, stem in stems.items() if not stem}
         others = list(others.union(tails).difference(memo, ("",)))
         memo.update(zip(others, self._library(others)))
         for (piece, stem), tail in zip(marked, tails):
             memo[piece] = memo[stem] + (memo[tail] if tail else b"")
 
+    def _known(self, distinct: set[str]) -> dict[str, bytes]:
+        """Has the ids of all the pieces; long ones are not remembered."""
+        unseen = self._unseen(distinct)
+        long = [piece for piece in unseen if len(piece) > MEMO_CHARS]
+        self._learn(unseen.difference(long))
+        return self.memo | dict(zip(long, self._library(long))) if long else self.memo
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the library gives them for the whole text."""
         out: list[bytes] = []
         start = 0
         while start < len(texts):
             end, size = start, 0
-            while end < len(texts) and (end == start or size < 1 << 20):
+            while end < len(texts) and (end == start or size < self.together):
                 size += len(texts[end])
                 end += 1
             out += self._encode_some(texts[start:end])
@@ -124,18 +144,8 @@ class PieceEncoder:
         return out
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
-        split = [
-            None if any(mark in text for mark in _UNLIKE) else self.pieces(text) for text in texts
-        ]
-        distinct = set().union(*(pieces for pieces in split if pieces))
-        unseen = self._unseen(distinct)
-        long = {piece for piece in unseen if len(piece) > MEMO_CHARS}
-        self._learn(unseen - long)
-        known = self.memo
-        if long:
-            order = list(long)
-            known = self.memo | dict(zip(order, self._library(order)))
-        look = known.__getitem__
+        split = [None if _unlike(text) else self.pieces(text) for text in texts]
+        look = self._known(set().union(*(pieces for pieces in split if pieces))).__getitem__
         return [
             self._library([text])[0] if pieces is None else b"".join(map(look, pieces))
             for text, pieces in zip(texts, split)
@@ -237,11 +247,17 @@ class ByteEncoder(PieceEncoder):
 class WordEncoder(PieceEncoder):
     """A vocabulary with word ends that drops white space, so pieces are bare words.
 
-    The ids of words are remembered in two generations.
+    The ids of words are remembered in two generations. Arrow splits texts and numbers
+    their distinct words, so that only these become Python objects and are looked up.
     """
 
+    together = WORDS_TOGETHER
+
     def __init__(self, path: str):
         super().__init__(path)
+        #: The model alone, for words that need neither normalizing nor splitting.
+        self.model = self.tokenizer.model
+        self.byte_names = {byte: name for name, byte in byte_characters().items()}
         ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             ends[number] = token.endswith("</w>")
@@ -262,7 +278,10 @@ class WordEncoder(PieceEncoder):
         return unseen - met
 
     def pieces(self, text: str) -> list[str]:
-        """Words, in small letters and without their full stops and commas where that is sure
+        return self.eased(text).split()
+
+    def eased(self, text: str) -> str:
+        """The text in small letters and with full stops and commas apart where that is sure
         to leave the ids as they are: it lets more words share one encoding.
         """
         low = text.lower()
@@ -270,18 +289,49 @@ class WordEncoder(PieceEncoder):
             text = low
             if not _TIGHT.search(text):
                 text = text.replace(".", " . ").replace(",", " , ")
-        return text.split()
+        return text
+
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        whole = {k for k, text in enumerate(texts) if _unlike(text)}
+        eased = ["" if k in whole else self.eased(text) for k, text in enumerate(texts)]
+        words = pc.utf8_split_whitespace(pa.array(eased, pa.large_string()))
+        coded = words.values.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self._known({word for word in distinct if word})
+        # White space at an end of a text leaves an empty word there.
+        ids = [known[word] if word else b"" for word in distinct]
+        # The ids of all words in a row, and where those of each text begin.
+        joined = pa.array(ids, pa.large_binary()).take(coded.indices)
+        _, places, data = joined.buffers()
+        starts = np.frombuffer(places, "<i8", len(joined) + 1)[words.offsets.to_numpy()].tolist()
+        raw = memoryview(data or b"")
+        out = [bytes(raw[start:end]) for start, end in zip(starts, starts[1:])]
+        for k in whole:
+            out[k] = self._library([texts[k]])[0]
+        return out
 
     def stem(self, piece: str) -> str | None:
-        plain = piece.isalpha() and max(piece) <= _PLAIN_LETTERS
+        if not piece.isalpha() or not (piece.isascii() or max(piece) <= _PLAIN_LETTERS):
+            return None
         low = piece.lower()
-        return low if plain and len(low) == len(piece) else None
+        if low == piece:
+            return piece
+        return low if len(low) == len(piece) else None
 
     def parted(self, stems: list[str]) -> list[bytes]:
-        ids = np.frombuffer(self._library([" ".join(stems)])[0], "<u4")
+        tokens, names = self.model.tokenize, self.byte_names
+        written = [
+            stem if stem.isascii() else stem.encode().decode("latin-1").translate(names)
+            for stem in stems
+        ]
+        ids = np.array([token.id for word in written for token in tokens(word)], np.uint32)
         return _cut(ids, np.flatnonzero(self.word_ends[ids]) + 1)
 
 
+def _unlike(text: str) -> bool:
+    return any(mark in text for mark in _UNLIKE)
+
+
 def _cut(ids: np.ndarray, stops: np.ndarray) -> list[bytes]:
     raw, at, out = ids.tobytes(), 0, []
     for stop in (stops * 4).tolist():

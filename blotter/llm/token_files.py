@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,30 +37,47 @@ BLOCK = 1024
 PERCENTILE = 90
 #: Ids after which a file is closed; a longer document has a file of its own.
 FILE_IDS = 2_000_000
+#: Bytes of text that are encoded together.
+SLICE_BYTES = 1 << 23
 
 _HEAD = struct.Struct("<8sqq")
 _BLOCK = struct.Struct("<IHHB")
 _FOOT = struct.Struct("<QQQQ8s")
-_BITS = np.arange(32, dtype=np.uint32)
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    """The low `width` bits of each row's values, packed, one row of bytes each."""
+    """The low `width` bits of each row's values, packed, one row of bytes each.
+
+    Eight values take `width` whole bytes, so every eighth value is written at once.
+    """
+    rows, count = values.shape
     if not width:
-        return np.zeros((len(values), 0), np.uint8)
-    bits = (values[:, :, None] >> _BITS[:width]) & 1
-    return np.packbits(bits.reshape(len(values), -1).astype(np.uint8), axis=1, bitorder="little")
+        return np.zeros((rows, 0), np.uint8)
+    eights = np.zeros((rows, -(-count // 8), 8), np.uint64)
+    eights.reshape(rows, -1)[:, :count] = values & np.uint32((1 << width) - 1)
+    out = np.zeros((rows, eights.shape[1], width), np.uint8)
+    for k in range(8):
+        first, shift = divmod(k * width, 8)
+        bits = eights[:, :, k] << np.uint64(shift)
+        for place in range(first, (k * width + width + 7) // 8):
+            out[:, :, place] |= (bits >> np.uint64(8 * (place - first))).astype(np.uint8)
+    return out.reshape(rows, -1)[:, : (count * width + 7) // 8]
 
 
 def _unpack(packed: np.ndarray, count: int, width: int) -> np.ndarray:
+    rows = len(packed)
     if not width:
-        return np.zeros((len(packed), count), np.uint32)
-    bits = np.unpackbits(packed, axis=1, count=count * width, bitorder="little")
-    out = np.zeros((len(packed), count), np.uint32)
-    by_bit = bits.reshape(len(packed), count, width)
-    for k in range(width):
-        out |= by_bit[:, :, k].astype(np.uint32) << np.uint32(k)
-    return out
+        return np.zeros((rows, count), np.uint32)
+    eights = np.zeros((rows, -(-count // 8), width), np.uint8)
+    eights.reshape(rows, -1)[:, : packed.shape[1]] = packed
+    out = np.zeros((rows, eights.shape[1], 8), np.uint32)
+    for k in range(8):
+        first, shift = divmod(k * width, 8)
+        bits = np.zeros(eights.shape[:2], np.uint64)
+        for place in range(first, (k * width + width + 7) // 8):
+            bits |= eights[:, :, place].astype(np.uint64) << np.uint64(8 * (place - first))
+        out[:, :, k] = (bits >> np.uint64(shift)) & np.uint64((1 << width) - 1)
+    return out.reshape(rows, -1)[:, :count]
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
@@ -159,6 +177,16 @@ def file_docs(content: bytes) -> tuple[int, int, list[int | None], np.ndarray, n
     return partition, number, [n if h else None for n, h in zip(names.tolist(), has)], sizes, ids
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows, together up to SLICE_BYTES of text, so that few are Python objects at once."""
+    ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy(), dtype=np.int64)
+    start = before = 0
+    while start < len(batch):
+        end = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield batch.slice(start, end - start)
+        start, before = end, ends[end - 1]
+
+
 def write(
     docs: DataFrame,
     folder: str,
@@ -194,8 +222,7 @@ def write(
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
         for batch in batches:
-            for start in range(0, len(batch), 512):
-                rows = batch.slice(start, 512)
+            for rows in _slices(batch):
                 some = coder.encode(rows["text"].to_pylist())
                 for name, ids in zip(rows["id"].to_pylist(), some):
                     own = np.frombuffer(ids + end, "<u4")

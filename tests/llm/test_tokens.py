@@ -5,6 +5,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
@@ -72,6 +74,62 @@ def test_words_give_the_librarys_ids(plain, monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == plain(WORD, text), text
 
 
+def test_words_that_come_again_are_looked_up_once_a_call(plain):
+    coder, asked = bpe.WordEncoder(WORD), []
+    known = coder._known
+    coder._known = lambda words: asked.extend(words) or known(words)
+    some = ["the House, the mouse. ", " été\u3000the\x85house", "", " \n", "a\x1cb", "x" * 99 + " é" * 50]
+    rows = [rng.choice(some) for _ in range(4_000)]
+    # No list of a text's words is made in Python.
+    coder.pieces = None
+    for text, ids in zip(rows, coder.encode(rows)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain(WORD, text), text
+    assert len(asked) == len(set(asked)) == 8
+
+
+def test_plain_words_have_the_librarys_ids(plain):
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(3_000)]
+    words += letters + ["the", "houses", "étés", "straße"]
+    coder = bpe.WordEncoder(WORD)
+    stems = list(dict.fromkeys(stem for stem in map(coder.stem, words) if stem))
+    assert len(stems) > 2_000
+    asked = []
+    coder._library = asked.append
+    for stem, ids in zip(stems, coder.parted(stems)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain(WORD, stem), stem
+    assert not asked  # the model alone, without normalizing and splitting again
+
+
+def test_arrow_splits_at_the_white_space_that_python_splits_at():
+    texts = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    found = pc.utf8_split_whitespace(pa.array(texts)).to_pylist()
+    assert found == [text.split() for text in texts]
+
+
+@pytest.mark.parametrize("width", range(33))
+def test_packing_is_of_little_endian_bits(width):
+    for count in (1, 7, 8, 1023, 1024):
+        values = np.array([[rng.randrange(2**32) for _ in range(count)] for _ in range(2)], np.uint32)
+        packed = token_files._pack(values, width)
+        low = [[v % 2**width for v in row] for row in values.tolist()]
+        for row, data in zip(low, packed):
+            bits = sum(v << (k * width) for k, v in enumerate(row))
+            assert data.tobytes() == bits.to_bytes((count * width + 7) // 8, "little")
+        assert token_files._unpack(packed, count, width).tolist() == low
+
+
+@pytest.mark.parametrize("most", [1, 10, 25, 1000])
+def test_slices_have_all_rows_within_their_bytes(monkeypatch, most):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", most)
+    own = ["", "abc", "é" * 6, "", "x" * 30, "y", "z" * 9, "", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(own)], ["id", "text"])
+    slices = [one["text"].to_pylist() for one in token_files._slices(batch)]
+    assert sum(slices, []) == own
+    assert all(len(one) == 1 or sum(len(t.encode()) for t in one) <= most for one in slices)
+    assert not list(token_files._slices(batch.slice(0, 0)))
+
+
 @pytest.mark.parametrize("spread", [65_536, 700])
 def test_encoded_frames(spark, plain, monkeypatch, spread):
     monkeypatch.setattr(bpe, "SPREAD", spread)
