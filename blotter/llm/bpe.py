@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from blotter.llm.frames import text_of, unused
+from blotter.llm.frames import give_back, text_of, unused
 
 #: Characters in a leaf of the tree, and in a segment that a task encodes.
 LEAF = 4096
@@ -364,6 +364,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(batch), 256):
             yield batch.slice(start, 256)
         pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def _with(batch: pa.RecordBatch, drop: str, **columns: pa.Array) -> pa.RecordBatch:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.frames import stored, text_of, unused
+from blotter.llm.frames import give_back, stored, text_of, unused
 from blotter.llm.words import LOWER, PLAIN, Block, Words, blocks, segment_hashes, window_hashes, words_of
 
 WINDOW = 10
@@ -185,7 +185,9 @@ def matches(
         "struct<n_words: bigint, runs: array<struct<at: bigint, words: string, grams: array<bigint>>>>"
     )
     def scan(texts: pa.Array) -> pa.Array:
-        return _scanned(texts, flags.value, least)
+        found = _scanned(texts, flags.value, least)
+        give_back()
+        return found
 
     scanned = docs.select(
         own.alias("id"), F.xxhash64(own, text).alias("row_key"), scan.asNondeterministic()(text).alias("s")

@@ -2,12 +2,53 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.sources.shared import shared_folder, stored
 
-__all__ = ["running_total", "shared_folder", "stored", "table", "text_of", "unused"]
+__all__ = [
+    "give_back",
+    "running_total",
+    "shared_folder",
+    "small_batches",
+    "stored",
+    "table",
+    "text_of",
+    "unused",
+]
+
+#: Rows and bytes of an Arrow batch at most, where Spark hands whole texts to Python.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches are no larger than BATCH.
+
+    A batch stands in the JVM, in buffers of the next power of two that grow by copying,
+    and once more in the Python worker. Limits that the session names stay.
+    """
+    named = spark.conf.getAll
+    for key, most in BATCH.items():
+        if key not in named:
+            spark.conf.set(key, most)
+
+
+def give_back() -> None:
+    """Gives the system the memory that Arrow's pool and the C library's allocator hold unused.
+
+    Spark uses Python workers again, so what one stage leaves would stand beside the next.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_of(column: str = "text") -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.llm.components import components
-from blotter.llm.frames import stored, text_of, unused
+from blotter.llm.frames import give_back, stored, text_of, unused
 from blotter.llm.words import (
     LOWER,
     SPACED,
@@ -112,7 +112,7 @@ def set_of(text: Column, width: int = WIDTH) -> Column:
             parts.append(
                 pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), key], names=["n", "key"])
             )
-        pa.default_memory_pool().release_unused()
+        give_back()
         return pa.concat_arrays(parts or [pa.array([], kind)])
 
     return describe.asNondeterministic()(text)
@@ -184,7 +184,8 @@ def _index(texts: DataFrame, width: int, buckets: int) -> DataFrame:
                 held, count = [], 0
         if count:
             yield from flushed()
-        pa.default_memory_pool().release_unused()
+            held = []
+        give_back()
 
     kind = "bucket int, keys binary, counts binary, grams binary"
     return texts.mapInArrow(packed, kind)
@@ -221,6 +222,7 @@ def _shared(index: DataFrame, buckets: int) -> DataFrame:
     """Blocks by bucket of the set: its n-grams that other sets have too, with frequencies."""
 
     def share(group: pa.Table) -> pa.Table:
+        give_back()  # what the bucket before left
         parts = [
             _unblock(a.as_py(), b.as_py(), c.as_py())
             for a, b, c in zip(group["keys"], group["counts"], group["grams"])
@@ -273,6 +275,7 @@ def _core(shared: DataFrame, percent: int) -> DataFrame:
     """
 
     def choose(group: pa.Table) -> pa.Table:
+        give_back()  # what the bucket before left
         keys, sizes, runs, grams, freqs = [], [], [], [], []
         for a, b, c in zip(group["keys"], group["counts"], group["grams"]):
             content = c.as_py()
@@ -334,6 +337,7 @@ def _overlaps(pairs: DataFrame, core: DataFrame) -> DataFrame:
             len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), True))
             for a, b in zip(x.to_pylist(), y.to_pylist())
         ]
+        give_back()
         return pa.array(out, pa.int64())
 
     x = core.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.frames import text_of, unused
+from blotter.llm.frames import give_back, text_of, unused
 from blotter.llm.words import SPACED, blocks, mixed, segment_hashes, window_hashes, words_of
 
 REPEAT_WINDOW = 5
@@ -140,7 +140,9 @@ def measures(text_col: str = "text") -> Column:
 
     @F.arrow_udf(f"struct<{kind}>")
     def measure(texts: pa.Array) -> pa.Array:
-        return _measured(texts)
+        found = _measured(texts)
+        give_back()
+        return found
 
     return measure.asNondeterministic()(text_of(text_col))
 

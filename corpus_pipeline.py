@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm import bpe, decontaminate, ngram_join, pii, quality_rules
-from blotter.llm.frames import shared_folder, table
+from blotter.llm.frames import shared_folder, small_batches, table
 
 #: The tokenizer file.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,16 +21,19 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that fail a quality rule of policy v1."""
+    small_batches(spark)
     return quality_rules.accepted(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies."""
+    small_batches(spark)
     return ngram_join.one_each(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a passage of a benchmark item."""
+    small_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -44,6 +47,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     `exact` says whether decoding the ids gives the text back.
     """
+    small_batches(spark)
     encoded = bpe.encoded(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, decoded_col="decoded")
     return encoded.select(
         "doc_id",
